@@ -10,22 +10,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refloom.llm.words import ALNUM, combine, word_chunks
+from refloom.llm.words import ALNUM, Words, combine, hash_words, word_chunks
 
 #: Labelled rows that are learnt from, at most (those of the least hash), and distinct features of each, at most that many bytes in all.
 TRAIN_ROWS = 12_000
 BITS = 22
-EPOCHS = 3
+EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.15, 1.0, 2.0, 0.5
 THRESHOLD = 0.3
+#: Bytes of a word's start that stand for its stem.
+STEMS = (4, 5)
 _GAP = np.uint64(0x5851F42D4C957F2D)
 
 
-def slots(hashes: np.ndarray, ptr: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(first words' places, slots) of all words, pairs of neighbours, and pairs with one word between, within documents."""
+def slots(w: Words) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(first words' places, slots) of all words, their stems, pairs of neighbours, and pairs with one word between, within documents."""
+    hashes, ptr = w.hashes, w.ptr
     shift = np.uint64(64 - BITS)
     doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
     out = [(np.arange(len(hashes)), (combine([hashes]) >> shift).astype(np.int64))]
+    for size in STEMS:
+        stem = hash_words(w.data, w.starts, np.minimum(w.ends, w.starts + size))
+        out.append((out[0][0], (combine([stem ^ (_GAP * np.uint64(size + 16))]) >> shift).astype(np.int64)))
     for gap in (1, 2):
         if len(hashes) > gap:
             at = np.flatnonzero(doc[:-gap] == doc[gap:])
@@ -37,7 +43,7 @@ def slots(hashes: np.ndarray, ptr: np.ndarray) -> list[tuple[np.ndarray, np.ndar
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, w in word_chunks(batch["text"], ALNUM):
-            all_slots = slots(w.hashes, w.ptr)
+            all_slots = slots(w)
             docs = [np.searchsorted(at, w.ptr) for at, _ in all_slots]
             rows = [np.unique(np.concatenate([s[p[d] : p[d + 1]] for (_, s), p in zip(all_slots, docs, strict=True)])).astype(np.int32).tobytes() for d in range(j - i)]
             yield pa.record_batch([batch["doc_id"][i:j].cast(pa.int64()), batch["toxic"][i:j].cast(pa.int32()), pa.array(rows, pa.binary())], names=["doc_id", "toxic", "slots"])
@@ -104,7 +110,7 @@ def _score(at: np.ndarray, weight: np.ndarray, bias: float):
             out = np.zeros(len(batch))
             for i, j, w in word_chunks(batch["text"], ALNUM):
                 docs, found = [], []
-                for places, s in slots(w.hashes, w.ptr):
+                for places, s in slots(w):
                     hit = np.flatnonzero(table[s] != 0)
                     docs.append(np.searchsorted(w.ptr, places[hit], side="right") - 1)
                     found.append(s[hit])
@@ -120,7 +126,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """doc_id, held_out, score, predicted for every row of docs.
 
     Only the text is scored: a document's features are the distinct slots of its
-    words, neighbours and pairs with a gap, whole texts. Labels are learnt only from
+    words, their stems, neighbours and pairs with a gap, over the whole text. Labels are learnt only from
     rows whose crc32(doc_id as text) mod 4 is not 2; a doc_id with both labels counts
     as toxic, one without an id or a label of 0 or 1 isn't learnt from. A null or
     empty text scores what the bias says; without any labelled text all scores are
