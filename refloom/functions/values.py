@@ -96,10 +96,13 @@ def is_isbn(value: Column) -> Column:
 
 
 def page_suffixes(last: Column, first: Column) -> Column:
-    """Ways to write a last page: whole, and without a beginning that it shares with the first page (199, 99 and 9 for 199 after 190)."""
-    size = F.length(last)
-    every = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda k: F.when((k == 1) | (F.substring(last, F.lit(1), k - 1) == F.substring(first, F.lit(1), k - 1)), F.substring(last, k, size)))
-    return F.when(size > 0, F.filter(every, lambda x: x.isNotNull() & (x != "")))
+    """Ways to write a last page: whole, and shortened by as many characters as it has in common, place by place, with a first page of its length; else all its endings."""
+    n = F.length(last)
+    places = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
+    common = F.size(F.filter(places, lambda k: F.substring(last, k, F.lit(1)) == F.substring(first, k, F.lit(1))))
+    endings = F.filter(F.transform(places, lambda k: F.when(k < n, F.substring(last, n - k + 1, k))), lambda x: x.isNotNull())
+    same_length = F.coalesce(F.length(first) == n, F.lit(False)) & (n > 0)
+    return F.when(last == first, F.array(last, last)).when(same_length & (common > 0), F.array(last, F.substring(last, common + 1, n))).when(same_length, F.array(last)).otherwise(F.concat(F.array(last), endings))
 
 
 def duration(seconds: Column) -> Column:
