@@ -7,7 +7,8 @@ A step is (kind, what, by): "re" replaces a pattern that Java and RE2 read alike
 from __future__ import annotations
 
 import re
-from functools import reduce
+from collections.abc import Callable
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,15 +72,21 @@ def sql(value: str, steps: list[Step]) -> str:
     return value
 
 
+@cache
+def _compiled(kind: str, what: str, by: str) -> Callable[[str], str]:
+    if kind == "re":
+        pattern = re.compile(what.replace(WORD, r"\w"))
+        return lambda x: pattern.sub(by, x)
+    if kind == "tr":
+        table = str.maketrans(what, by)
+        return lambda x: x.translate(table)
+    return lambda x: x.replace(what, by)
+
+
 def python(value: str, steps: list[Step]) -> str:
     """The same in Python, for functions that depend on order and so run in a UDF."""
-    for kind, what, by in steps:
-        if kind == "re":
-            value = re.sub(what.replace(WORD, r"\w"), by, value)
-        elif kind == "tr":
-            value = value.translate(str.maketrans(what, by))
-        else:
-            value = value.replace(what, by)
+    for step in steps:
+        value = _compiled(*step)(value)
     return value
 
 
@@ -136,9 +143,12 @@ def length_gate(a: Column, b: Column) -> Column:
     return (la > 0) & (lb > 0) & (la <= 2 * lb) & (lb <= 2 * la)
 
 
-def clean_equal(a: Column, b: Column, accents: bool = False) -> Column:
-    """Soft equality for evaluation: the length gate, equal match keys, or one key within the other where lengths are close."""
-    ka, kb, la, lb = match_key(a, accents), match_key(b, accents), F.length(a), F.length(b)
+def clean_equal(a: Column, b: Column, accents: bool = False, keys: tuple[Column, Column] | None = None) -> Column:
+    """Soft equality for evaluation: the length gate, equal match keys, or one key within the other where lengths are close.
+
+    keys are the match keys of both where they are columns already, as in joins.
+    """
+    (ka, kb), la, lb = keys or (match_key(a, accents), match_key(b, accents)), F.length(a), F.length(b)
     close = (la > 5) & (lb > 5) & (la / lb > 0.7) & (la / lb < 1.3)
     return F.coalesce(length_gate(a, b) & ((ka == kb) | (close & (F.contains(ka, kb) | F.contains(kb, ka)))), F.lit(False))
 

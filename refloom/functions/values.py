@@ -68,8 +68,8 @@ def org_level(value: Column) -> Column:
 
 def affiliation_parts(value: Column) -> Column:
     """Struct of org, address and country: comma parts up to the first of no known level, those after, and the last."""
-    parts = F.transform(F.split(value, ","), F.trim)
-    level = F.transform(parts, org_level)
+    parts = F.transform(F.split(value, ","), lambda x: F.trim(x))
+    level = F.transform(parts, lambda x: org_level(x))
     stop = F.coalesce(F.array_position(F.transform(level, lambda x: x.isNull()), True), F.lit(0))
     cut = F.when(stop == 0, F.size(parts)).otherwise(stop - 1).cast("int")
     many = F.size(parts) > 1

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refloom.functions import text as tx
+from refloom.functions.layout import spread
 
 RULES = ("strict:ti+date", "strict:au+date", "strict:j+vol+p", "heuri:ti+autres")
 FIELDS = ("tit", "date", "j", "vol", "iss", "fpg", "lpg", "psher")
@@ -21,25 +22,33 @@ def align_documents(gold: DataFrame, todo: DataFrame, key: str = "doc_key") -> t
     return t.join(g, key), t.join(g, key, "left_anti")
 
 
+def keyed(refs: DataFrame) -> DataFrame:
+    """refs with what the rules compare: match keys of title, names and journal, and the bare title; once a row, not once a pair."""
+    names = F.array_join("names", " ")
+    return refs.withColumns({
+        "__names": names, "__first": F.try_element_at("names", F.lit(1)), "__k_tit": tx.match_key(F.col("tit")), "__k_names": tx.match_key(names), "__k_j": tx.match_key(F.col("j")),
+        "__poor": F.regexp_replace(F.lower("tit"), "[^a-z0-9]+", ""),
+    })
+
+
 def rule_number(g: Callable[[str], Column], t: Callable[[str], Column], compare_dates: bool = False) -> Column:
-    """The first of RULES that a gold and an extracted reference satisfy, from 1; null if none.
+    """The first of RULES that a gold and an extracted reference, both keyed, satisfy, from 1; null if none.
 
     The second rule asks for dates on both sides only; compare_dates makes it compare them.
     """
-    poor = lambda x: F.regexp_replace(F.lower(x), "[^a-z0-9]+", "")
+    same = lambda f, k: tx.clean_equal(g(f), t(f), keys=(g(k), t(k)))
     same_date = g("date") == t("date")
-    names = lambda s: F.array_join(s("names"), " ")
-    title = tx.clean_equal(g("tit"), t("tit")) & same_date
-    author = tx.clean_equal(names(g), names(t)) & (same_date if compare_dates else g("date").isNotNull() & t("date").isNotNull())
-    place = tx.clean_equal(g("j"), t("j")) & (g("vol") == t("vol")) & (g("fpg") == t("fpg"))
-    first = lambda s: F.try_element_at(s("names"), F.lit(1))
-    within = (F.length(poor(g("tit"))) > 6) & F.contains(poor(t("tit")), poor(g("tit"))) & same_date & (F.coalesce(first(g) == first(t), F.lit(False)) | F.coalesce(g("fpg") == t("fpg"), F.lit(False)))
+    title = same_date & same("tit", "__k_tit")
+    author = (same_date if compare_dates else g("date").isNotNull() & t("date").isNotNull()) & same("__names", "__k_names")
+    place = (g("vol") == t("vol")) & (g("fpg") == t("fpg")) & same("j", "__k_j")
+    within = same_date & (F.length(g("__poor")) > 6) & F.contains(t("__poor"), g("__poor")) & (F.coalesce(g("__first") == t("__first"), F.lit(False)) | F.coalesce(g("fpg") == t("fpg"), F.lit(False)))
     return F.when(title, 1).when(author, 2).when(place, 3).when(within, 4)
 
 
 def candidates(gold: DataFrame, todo: DataFrame, key: str = "doc_key", compare_dates: bool = False) -> DataFrame:
     """key, g, t and rule of all pairs of a document that satisfy a rule."""
-    pairs = gold.alias("g").join(todo.alias("t"), key)
+    # Dealt by document first, so that keys are made before the join and on all cores.
+    pairs = keyed(spread(gold, key)).alias("g").join(keyed(spread(todo, key)).alias("t"), key)
     rule = rule_number(lambda c: F.col(f"g.{c}"), lambda c: F.col(f"t.{c}"), compare_dates)
     return pairs.select(key, "g.g", "t.t", rule.alias("rule")).where("rule is not null")
 
@@ -143,16 +152,19 @@ def diagnosis(gold: str | None, todo: str | None, field: str = "", substring_inf
     sizes = lambda a, b, sign: f"({a}{sign}{b - a if sign == '+' else a - b})" if substring_info else ""
     if field == "tit" and "http" in todo and len(gold) > 7 and gold in todo:
         return "NON_+long_tit_http" + sizes(len(gold), len(todo), "+")
+    # Combinations of one size follow each other in order; what a shorter one left is where longer ones go on.
+    left = {(): (gold, todo, "")}
     for size in range(1, len(COMPARERS) + 1):
+        level = {}
         for combo in itertools.combinations(COMPARERS, size):
-            g, t, trace = gold, todo, ""
-            for name in combo:
-                ok, g2, t2 = COMPARERS[name](g, t)
-                stamp = {"allongé.": f"allongé{sizes(len(g), len(t), '+')}.", "raccourci.": f"raccourci{sizes(len(g), len(t), '-')}."}.get(name, name)
-                trace += stamp
-                if ok:
-                    return f"OUI_avec:{trace}OK"
-                g, t = g2, t2
+            g, t, trace = left[combo[:-1]]
+            name = combo[-1]
+            ok, g2, t2 = COMPARERS[name](g, t)
+            stamp = {"allongé.": f"allongé{sizes(len(g), len(t), '+')}.", "raccourci.": f"raccourci{sizes(len(g), len(t), '-')}."}.get(name, name)
+            if ok:
+                return f"OUI_avec:{trace}{stamp}OK"
+            level[combo] = (g2, t2, trace + stamp)
+        left = level
     return "NON_diff"
 
 
@@ -167,7 +179,7 @@ def diagnose(pairs: DataFrame, keep: list[str], fields: tuple[str, ...] = FIELDS
 
         return run
 
-    return pairs.select(*keep, *[make(f)(F.col(f"g_{f}"), F.col(f"t_{f}")).alias(f) for f in fields])
+    return spread(pairs, *keep).select(*keep, *[make(f)(F.col(f"g_{f}"), F.col(f"t_{f}")).alias(f) for f in fields])
 
 
 def unmatched(rows: DataFrame, keep: list[str], silence: bool, fields: tuple[str, ...] = FIELDS) -> DataFrame:

@@ -19,7 +19,7 @@ def ratio(part: Column, whole: Column, digits: int = 2) -> Column:
 def contingency(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
     """A row for each value of row, a count for each given value of column; absent pairs are 0."""
     out = df.groupBy(row).pivot(column, values).count()
-    return out.na.fill(0, [str(v) for v in values])
+    return out.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(str(v)) for v in values])
 
 
 def recall_precision(df: DataFrame, aligned: str, silence: str, noise: str) -> DataFrame:
@@ -76,7 +76,8 @@ def outcome_matrix(long: DataFrame) -> DataFrame:
 def outcomes_in_row(fields: list[str]) -> dict[str, Column]:
     """For each outcome, how many of the row's fields have it."""
     every = F.array(*[recode(F.col(f)) for f in fields])
-    return {name: F.size(F.filter(every, lambda x, n=name: x == n)).cast("long") for name in OUTCOMES}
+    count = lambda name: F.size(F.filter(every, lambda x: x == F.lit(name))).cast("long")
+    return {name: count(name) for name in OUTCOMES}
 
 
 def drop_empty_rows(df: DataFrame, counts: list[str]) -> DataFrame:

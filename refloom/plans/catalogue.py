@@ -1,7 +1,521 @@
-"""The library's registered queries and their SQL."""
+"""The library's registered queries over the driver's tables, and the same in SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-FLAGSHIP = None
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from refloom.functions import text as tx
+from refloom.functions import values as vl
+from refloom.operators import convert, linkage, metrics, projection, query, sampling
+from refloom.operators import lines as ln
+from refloom.sources import tables, tei
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+W = r"([\p{L}\p{N}_]+)"
+
+
+def _register(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return tables.explode_lines(_t(spark, d, "documents").withColumn("doc_key", F.col("doc_id")), "doc_key", "text")
+
+
+_LINES = "(SELECT doc_id AS doc_key, lang, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)"
+
+# Sources, projections and filters
+
+
+@_register("SELECT doc_id, concat_ws('-', source, doc_id) AS basename, coalesce(lang, 'UNKOWN_LANG') AS lang, 'UNKOWN_GENRE' AS genre, n_chars FROM documents")
+def scan_projection(spark, d):
+    df = _t(spark, d, "documents").withColumns({"basename": tables.basename("source", "doc_id"), "genre": F.lit(None).cast("string")})
+    return sampling.sample_index(df).select("doc_id", "basename", "lang", "genre", "n_chars")
+
+
+@_register(f"""
+    SELECT lang, count(*) AS n_lines, count(*) FILTER (length(line) > 300) AS n_long,
+           count(*) FILTER (length(line) > 1 AND trim(line) <> '' AND (length(line) > 4 OR regexp_matches(line, '^[A-Z0-9]'))) AS n_searchable
+    FROM {_LINES} GROUP BY lang""")
+def filter_predicates(spark, d):
+    rows = _lines(spark, d).join(_t(spark, d, "documents").select(F.col("doc_id").alias("doc_key"), "lang"), "doc_key")
+    return rows.groupBy("lang").agg(F.count("*").alias("n_lines"), F.count(F.when(F.length("line") > 300, 1)).alias("n_long"), F.count(F.when(tx.searchable(F.col("line")), 1)).alias("n_searchable"))
+
+
+@_register("""
+    WITH k AS (SELECT *, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS n FROM documents) SELECT doc_id, source, md5(text) AS basename FROM k WHERE n = 1""")
+def first_corpus(spark, d):
+    return tables.first_corpus(_t(spark, d, "documents").select("doc_id", "source", F.md5("text").alias("basename")), position="doc_id")
+
+
+@_register("SELECT CAST(max(CAST(regexp_extract(c_name, '([0-9]+)$', 1) AS INTEGER)) + 1 AS INTEGER) AS \"next\" FROM customer")
+def next_number(spark, d):
+    return tables.next_number(_t(spark, d, "customer"), "c_name")
+
+
+# Text
+
+
+@_register(f"SELECT doc_id, md5({tx.sql('text', tx.COMMON_STEPS)}) AS digest, CAST(length({tx.sql('text', tx.COMMON_STEPS)}) AS INTEGER) AS n FROM documents")
+def clean_text_canonical(spark, d):
+    return _t(spark, d, "documents").withColumn("c", tx.canonical(F.col("text"))).select("doc_id", F.md5("c").alias("digest"), F.length("c").alias("n"))
+
+
+@_register(f"SELECT item_id, {tx.sql('text', tx.OCR_LINK)} AS link_form, {tx.sql('text', tx.OCR_EVAL)} AS eval_form FROM benchmark")
+def ocr_signature(spark, d):
+    return _t(spark, d, "benchmark").select("item_id", tx.ocr_link(F.col("text")).alias("link_form"), tx.ocr_eval(F.col("text")).alias("eval_form"))
+
+
+@_register(f"SELECT doc_id, md5({tx.sql('text', tx.UNACCENT_STEPS)}) AS digest FROM documents")
+def unaccent_text(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.md5(tx.unaccent(F.col("text"))).alias("digest"))
+
+
+@_register(f"""
+    WITH l AS (SELECT *, {tx.match_key_sql('line')} AS k FROM {_LINES}), b AS (SELECT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark),
+    c AS (SELECT *, {tx.match_key_sql('line')} AS k FROM b)
+    SELECT l.doc_key, CAST(l.i AS INTEGER) AS i, c.item_id FROM l JOIN c ON l.k = c.k AND l.k <> '' AND length(l.line) <= 2 * length(c.line) AND length(c.line) <= 2 * length(l.line)""")
+def soft_equal_pairs(spark, d):
+    left = _lines(spark, d).withColumn("k", tx.match_key(F.col("line"))).where("k <> ''")
+    right = _t(spark, d, "benchmark").select("item_id", F.explode(F.split("text", "\n")).alias("gold")).withColumn("k", tx.match_key(F.col("gold")))
+    return left.join(right, "k").where(tx.length_gate(F.col("line"), F.col("gold"))).select("doc_key", "i", "item_id")
+
+
+@_register("""
+    SELECT lang, CAST(sum(len(list_filter(regexp_extract_all(text, '[\\p{L}\\p{N}_?*]+'), lambda t: length(t) >= 4))) AS BIGINT) AS n_kept,
+           CAST(sum(len(regexp_extract_all(text, '[\\p{L}\\p{N}_?*]+'))) AS BIGINT) AS n_all FROM documents GROUP BY lang""".replace("\\\\", "\\"))
+def tokenize_filter(spark, d):
+    every = F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}_?*]+)"), 1)
+    return _t(spark, d, "documents").groupBy("lang").agg(F.sum(F.size(F.filter(every, lambda t: F.length(t) >= 4)).cast("long")).alias("n_kept"), F.sum(F.size(every).cast("long")).alias("n_all"))
+
+
+# Search
+
+
+_TOKENS = r"list_distinct(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda t: length(t) >= 4))"
+_SCORES = f"""
+    q AS (SELECT item_id, unnest({_TOKENS}) AS token FROM benchmark), k AS (SELECT doc_id, unnest({_TOKENS}) AS token FROM documents),
+    s AS (SELECT item_id, doc_id, count(*) AS score FROM q JOIN k USING (token) GROUP BY item_id, doc_id)"""
+
+
+@_register(f"WITH {_SCORES} SELECT item_id, score, count(*) AS n_docs FROM s GROUP BY item_id, score")
+def query_match_any_token(spark, d):
+    scores = query.match_any_token(_t(spark, d, "benchmark"), _t(spark, d, "documents"), "item_id", "text", "doc_id", "text")
+    return scores.groupBy("item_id", "score").agg(F.count("*").alias("n_docs"))
+
+
+@_register(f"WITH {_SCORES}, r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n FROM s) SELECT item_id, doc_id, score FROM r WHERE n = 1")
+def top1_hit(spark, d):
+    return query.top_hit(query.match_any_token(_t(spark, d, "benchmark"), _t(spark, d, "documents"), "item_id", "text", "doc_id", "text"), "item_id", "doc_id")
+
+
+@_register("""
+    SELECT c_custkey, CAST(1 + (c_mktsegment IN ('BUILDING', 'MACHINERY'))::INT + 1 AS INTEGER) AS score FROM customer
+    WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey BETWEEN 3 AND 19 AND NOT regexp_matches(lower(c_name), '(^|[^0-9a-z_])00000001[0-9]($|[^0-9a-z_])')""")
+def search_must(spark, d):
+    q = "segment:(BUILDING MACHINERY) AND nation:[3 TO 19] AND NOT name:00000001?"
+    return query.search(_t(spark, d, "customer"), q, {"segment": "c_mktsegment", "nation": "c_nationkey", "name": "c_name"}, key="c_custkey").select("c_custkey", "score")
+
+
+@_register("""
+    WITH s AS (SELECT doc_id, (len(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda t: t = 'pathetic')) > 0)::INT + contains(' ' || lower(text) || ' ', ' of the ')::INT
+        + (len(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda t: starts_with(t, 'lowei'))) > 0)::INT + (lang = 'de')::INT AS score FROM documents)
+    SELECT doc_id, score FROM s WHERE score > 0""".replace("\\\\", "\\"))
+def search_should(spark, d):
+    return query.search(_t(spark, d, "documents"), 'text:pathetic text:"of the" text:lowei* lang:de', {"text": "text", "lang": "lang"}, key="doc_id").select("doc_id", "score")
+
+
+# Shredding and conversion of XML
+
+
+def _tei_of_orders(spark: SparkSession, d: str) -> DataFrame:
+    """A document for each customer with a reference for each order."""
+    o = _t(spark, d, "orders")
+    ref = F.concat(
+        F.lit('<biblStruct xml:id="b'), F.col("o_orderkey"), F.lit('"><analytic><title level="a" type="main">Order '), F.col("o_orderpriority"), F.lit('</title><author><persName><surname>Clerk</surname></persName></author></analytic><monogr><title level="j">'),
+        F.col("o_orderstatus"), F.lit(' Review</title><imprint><biblScope unit="vol">'), F.col("o_orderkey"), F.lit('</biblScope><date type="published" when="'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('"/></imprint></monogr></biblStruct>'),
+    )
+    per = o.groupBy(F.col("o_custkey").alias("doc_key")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", ref.alias("x")))), lambda s: s["x"]), "").alias("refs"))
+    return per.select("doc_key", F.concat(F.lit("<TEI><text><back><div><listBibl>"), "refs", F.lit("</listBibl></div></back></text></TEI>")).alias("xml"))
+
+
+@_register("""
+    SELECT o_custkey AS doc_key, 'b' || o_orderkey AS bib_id, f AS field, v AS value FROM (
+        SELECT o_custkey, o_orderkey, unnest(['title', 'author.name', 'host.title', 'host.volume', 'publicationDate']) AS f,
+               unnest(['Order ' || replace(o_orderpriority, '-', chr(92) || '-'), 'Clerk', o_orderstatus || ' Review', CAST(o_orderkey AS VARCHAR), replace(strftime(o_orderdate, '%Y-%m-%d'), '-', chr(92) || '-')]) AS v FROM orders)""")
+def tei_shred(spark, d):
+    return tei.subvalues(tei.references(tei.parsed(_tei_of_orders(spark, d)).where("well_formed"))).select("doc_key", "bib_id", "field", "value")
+
+
+@_register("""
+    SELECT o_custkey AS doc_key, 'b' || o_orderkey AS bib_id, 'Order ' || o_orderpriority AS tit, strftime(o_orderdate, '%Y') AS date, o_orderstatus || ' Review' AS j, CAST(o_orderkey AS VARCHAR) AS vol, 1 AS n_names, true AS has_analytic FROM orders""")
+def tei_canonical_fields(spark, d):
+    return tei.canonical_fields(tei.references(_tei_of_orders(spark, d))).select("doc_key", "bib_id", "tit", "date", "j", "vol", F.size("names").alias("n_names"), "has_analytic")
+
+
+@_register("""
+    SELECT o_custkey AS doc_key, 'b' || o_orderkey AS bib_id, 'title:(' || 'Order ' || split_part(o_orderpriority, '-', 2) || ')' AS q FROM orders WHERE length(split_part(o_orderpriority, '-', 2)) >= 4 AND NOT contains(split_part(o_orderpriority, '-', 2), ' ')
+    UNION ALL SELECT o_custkey, 'b' || o_orderkey, 'title:(Order ' || array_to_string(list_filter(string_split(split_part(o_orderpriority, '-', 2), ' '), lambda t: length(t) >= 4), ' ') || ')' FROM orders WHERE contains(split_part(o_orderpriority, '-', 2), ' ')
+    UNION ALL SELECT o_custkey, 'b' || o_orderkey, 'title:Order' FROM orders WHERE length(split_part(o_orderpriority, '-', 2)) < 4""")
+def strategy_queries(spark, d):
+    values = tei.subvalues(tei.references(_tei_of_orders(spark, d))).where("field = 'title'")
+    per = values.withColumn("tokens", tei.tokens(F.col("field"), F.col("value"))).select("doc_key", "bib_id", F.create_map("field", F.array("value")).alias("values"), F.create_map("field", "tokens").alias("tokens"))
+    return query.build_queries(per, "any_token").withColumnRenamed("query", "q")
+
+
+_DIALECT = {"ECONOMY": "nlm", "STANDARD": "elsevier", "PROMO": "springer", "MEDIUM": "nature", "LARGE": "wiley", "SMALL": "iop"}
+
+
+@_register("""
+    WITH p AS (SELECT *, CASE p_type WHEN 'ECONOMY' THEN 'nlm' WHEN 'STANDARD' THEN 'elsevier' WHEN 'PROMO' THEN 'springer' WHEN 'MEDIUM' THEN 'nature' WHEN 'LARGE' THEN 'wiley' WHEN 'SMALL' THEN 'iop' END AS dialect FROM part)
+    SELECT p_partkey AS doc_key, dialect, p_name AS tit, p_brand AS j, CAST(1900 + p_size AS VARCHAR) AS date, CASE WHEN dialect IN ('elsevier', 'springer') THEN CAST(1900 + p_size AS VARCHAR) END AS "when", CAST(p_size AS VARCHAR) AS vol FROM p WHERE dialect IS NOT NULL""")
+def convert_dialects(spark, d):
+    p = _t(spark, d, "part")
+    kind, xml = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for value, dialect in _DIALECT.items():
+        rules, box = convert.RULES[dialect], convert.CONTAINERS[dialect][0]
+        x = F.concat(F.lit(f"<{box}><{rules['tit'][0]}>"), F.col("p_name"), F.lit(f"</{rules['tit'][0]}><{rules['j'][0]}> "), F.col("p_brand"), F.lit(f"</{rules['j'][0]}><{rules['date'][0]}>"), F.col("p_size") + 1900, F.lit(f"</{rules['date'][0]}><{rules['vol'][0]}>"), F.col("p_size"), F.lit(f"</{rules['vol'][0]}></{box}>"))
+        kind, xml = F.when(F.col("p_type") == value, dialect).otherwise(kind), F.when(F.col("p_type") == value, x).otherwise(xml)
+    return convert.convert(p.select(F.col("p_partkey").alias("doc_key"), kind.alias("dialect"), xml.alias("xml"))).select("doc_key", "dialect", "tit", "j", "date", "when", "vol")
+
+
+@_register(r"""
+    SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS n_links, CAST(length(regexp_replace(html, '<[^>]+>', '', 'g')) AS INTEGER) AS n_text FROM pages""")
+def html_shred(spark, d):
+    return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<a href=")).alias("n_links"), F.length(F.regexp_replace("html", "<[^>]+>", "")).alias("n_text"))
+
+
+# Linkage and evaluation
+
+
+def _gold_and_todo(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of documents as references, and as an extraction with OCR noise saw them: short lines lost, long ones cut in two."""
+    rows = _lines(spark, d).where("line <> ''")
+    gold = rows.select("doc_key", F.col("i").alias("g"), F.col("line").alias("tit"), F.lit("2001").alias("date"), F.col("line").alias("j"), F.length("line").cast("string").alias("vol"), F.col("i").cast("string").alias("fpg"), F.slice(F.split("line", " "), 1, 1).alias("names"))
+    seen = rows.where(F.length("line") >= 20).withColumn("noisy", F.translate("line", "lo", "10"))
+    cut = F.length("line") > 400
+    first = seen.select("doc_key", (F.col("i") * 2).alias("t"), F.when(cut, F.substring("noisy", 1, 400)).otherwise(F.col("noisy")).alias("tit"), F.lit("2001").alias("date"), F.col("noisy").alias("j"), F.when(cut, "0").otherwise(F.length("line").cast("string")).alias("vol"), F.col("i").cast("string").alias("fpg"), F.slice(F.split("noisy", " "), 1, 1).alias("names"))
+    second = seen.where(cut).select("doc_key", (F.col("i") * 2 + 1).alias("t"), F.expr("substring(noisy, 401)").alias("tit"), F.lit("2001").alias("date"), F.lit("").alias("j"), F.lit("0").alias("vol"), F.col("i").cast("string").alias("fpg"), F.array(F.lit("x")).alias("names"))
+    return gold, first.unionByName(second)
+
+
+def _clean_equal_sql(a: str, b: str, ka: str, kb: str) -> str:
+    return f"""(length({a}) > 0 AND length({b}) > 0 AND length({a}) <= 2 * length({b}) AND length({b}) <= 2 * length({a}) AND ({ka} = {kb}
+        OR (length({a}) > 5 AND length({b}) > 5 AND length({a}) / length({b})::DOUBLE > 0.7 AND length({a}) / length({b})::DOUBLE < 1.3 AND (contains({ka}, {kb}) OR contains({kb}, {ka})))))"""
+
+
+_ALIGNED = f"""
+    WITH RECURSIVE l AS (SELECT doc_key, lang, i, line, translate(line, 'lo', '10') AS noisy, length(line) > 400 AS cut FROM {_LINES} WHERE line <> ''),
+    g AS (SELECT doc_key, lang, i AS g, line AS tit, line AS j, CAST(length(line) AS VARCHAR) AS vol, CAST(i AS VARCHAR) AS fpg, string_split(line, ' ')[1] AS name FROM l),
+    t AS (SELECT doc_key, lang, i * 2 AS t, CASE WHEN cut THEN substr(noisy, 1, 400) ELSE noisy END AS tit, noisy AS j, CASE WHEN cut THEN '0' ELSE CAST(length(line) AS VARCHAR) END AS vol, CAST(i AS VARCHAR) AS fpg, string_split(noisy, ' ')[1] AS name FROM l WHERE length(line) >= 20
+          UNION ALL SELECT doc_key, lang, i * 2 + 1, substr(noisy, 401), '', '0', CAST(i AS VARCHAR), 'x' FROM l WHERE cut),
+    both_sides AS (SELECT DISTINCT doc_key FROM g JOIN t USING (doc_key)),
+    gk AS (SELECT g.*, {tx.match_key_sql('tit')} AS kt, {tx.match_key_sql('j')} AS kj, {tx.match_key_sql('name')} AS kn, regexp_replace(lower(tit), '[^a-z0-9]+', '', 'g') AS poor FROM g JOIN both_sides USING (doc_key)),
+    tk AS (SELECT t.*, {tx.match_key_sql('tit')} AS kt, {tx.match_key_sql('j')} AS kj, {tx.match_key_sql('name')} AS kn, regexp_replace(lower(tit), '[^a-z0-9]+', '', 'g') AS poor FROM t JOIN both_sides USING (doc_key)),
+    c AS (SELECT gk.doc_key, gk.g, tk.t, CASE WHEN {_clean_equal_sql('gk.tit', 'tk.tit', 'gk.kt', 'tk.kt')} THEN 1 WHEN {_clean_equal_sql('gk.name', 'tk.name', 'gk.kn', 'tk.kn')} THEN 2
+            WHEN {_clean_equal_sql('gk.j', 'tk.j', 'gk.kj', 'tk.kj')} AND gk.vol = tk.vol AND gk.fpg = tk.fpg THEN 3
+            WHEN length(gk.poor) > 6 AND contains(tk.poor, gk.poor) AND (gk.name = tk.name OR gk.fpg = tk.fpg) THEN 4 END AS rule FROM gk JOIN tk USING (doc_key)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY doc_key ORDER BY g, t) AS n FROM c WHERE rule IS NOT NULL),
+    f AS (SELECT DISTINCT doc_key, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS ug, CAST([] AS BIGINT[]) AS ut, CAST([] AS INTEGER[]) AS ur FROM k
+          UNION ALL SELECT k.doc_key, k.n, CASE WHEN list_contains(ug, g) OR list_contains(ut, t) THEN ug ELSE list_append(ug, g) END, CASE WHEN list_contains(ug, g) OR list_contains(ut, t) THEN ut ELSE list_append(ut, t) END,
+                 CASE WHEN list_contains(ug, g) OR list_contains(ut, t) THEN ur ELSE list_append(ur, rule) END FROM f JOIN k ON k.doc_key = f.doc_key AND k.n = f.n + 1),
+    z AS (SELECT doc_key, arg_max(ug, n) AS ug, arg_max(ut, n) AS ut, arg_max(ur, n) AS ur FROM f GROUP BY doc_key),
+    p AS (SELECT doc_key, unnest(ug) AS g, unnest(ut) AS t, unnest(ur) AS rule FROM z),
+    a AS (SELECT doc_key, g, t, 'ali' AS alignment, rule FROM p UNION ALL SELECT doc_key, g, NULL, 'silence', NULL FROM gk WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.doc_key = gk.doc_key AND p.g = gk.g)
+          UNION ALL SELECT doc_key, NULL, t, 'noise', NULL FROM tk WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.doc_key = tk.doc_key AND p.t = tk.t))"""
+
+
+@_register(_ALIGNED + " SELECT doc_key, g, t, alignment, rule FROM a")
+def greedy_align(spark, d):
+    return linkage.align(*_gold_and_todo(spark, d))
+
+
+@_register(_ALIGNED + " SELECT rule, count(*) AS n FROM a WHERE rule IS NOT NULL GROUP BY rule")
+def rule_breakdown(spark, d):
+    return linkage.align(*_gold_and_todo(spark, d)).where("rule is not null").groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@_register(_ALIGNED + """, s AS (SELECT lang, count(*) FILTER (alignment = 'ali') AS ali, count(*) FILTER (alignment = 'silence') AS silence, count(*) FILTER (alignment = 'noise') AS noise FROM a JOIN documents ON doc_key = doc_id GROUP BY lang)
+    SELECT *, round_even(ali / (ali + silence)::DOUBLE, 2) AS "R", round_even(ali / (ali + noise)::DOUBLE, 2) AS "P" FROM s""")
+def recall_precision_by_language(spark, d):
+    rows = linkage.align(*_gold_and_todo(spark, d)).join(_t(spark, d, "documents").select(F.col("doc_id").alias("doc_key"), "lang"), "doc_key")
+    return metrics.recall_precision(metrics.contingency(rows, "lang", "alignment", ["ali", "silence", "noise"]), "ali", "silence", "noise")
+
+
+FLAGSHIP = recall_precision_by_language
+
+
+@_register(_ALIGNED + """, s AS (SELECT count(*) FILTER (alignment = 'ali') AS found, count(*) FILTER (alignment = 'silence') AS silence, count(*) FILTER (alignment = 'noise') AS noise FROM a)
+    SELECT *, found + silence AS "K", found + noise AS "L", round_even(100.0::DOUBLE * found / (found + silence), 1) AS "R", round_even(100.0::DOUBLE * found / (found + noise), 1) AS "P" FROM s""")
+def global_counters(spark, d):
+    return metrics.global_counters(linkage.align(*_gold_and_todo(spark, d)))
+
+
+@_register("""
+    SELECT count(*) FILTER (l.doc_id IS NOT NULL AND d.doc_id IS NOT NULL) AS matched, count(*) FILTER (l.doc_id IS NULL) AS silence, count(*) FILTER (d.doc_id IS NULL) AS noise FROM documents d FULL JOIN labels l USING (doc_id)""")
+def doc_align_inner_anti(spark, d):
+    gold, todo = (_t(spark, d, n).select(F.col("doc_id").alias("doc_key")) for n in ("documents", "labels"))
+    both, extra = linkage.align_documents(gold, todo)
+    missed, _ = gold.join(todo, "doc_key", "left_anti"), None
+    return both.agg(F.count("*").alias("matched")).crossJoin(missed.agg(F.count("*").alias("silence"))).crossJoin(extra.agg(F.count("*").alias("noise")))
+
+
+@_register()
+def field_diagnosis(spark, d):
+    gold, todo = _gold_and_todo(spark, d)
+    pairs = linkage.greedy(linkage.candidates(gold, todo))
+    g, t = (x.select("doc_key", k, *[F.col(c).alias(f"{k}_{c}") for c in ("tit", "date", "j", "vol", "fpg")]) for x, k in ((gold, "g"), (todo, "t")))
+    return linkage.diagnose(pairs.join(g, ["doc_key", "g"]).join(t, ["doc_key", "t"]), ["doc_key", "g", "t"], ("tit", "date", "j", "vol", "fpg"))
+
+
+@_register()
+def projected_fields(spark, d):
+    rows = _t(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_brand", F.lit(":"), F.translate("p_name", "lo", "10"), F.lit("("), "p_size", F.lit(")")).alias("line"), F.array(F.struct(F.lit("tit").alias("name"), F.array("p_name").alias("alternatives")), F.struct(F.lit("vol").alias("name"), F.array(F.col("p_size").cast("string")).alias("alternatives"))).alias("fields"))
+    return projection.project_fields(rows, ["p_partkey"])
+
+
+# Metrics
+
+
+@_register("""
+    WITH s AS (SELECT lang, count(*) FILTER (quality = 0) AS "0", count(*) FILTER (quality = 1) AS "1" FROM labels JOIN documents USING (doc_id) GROUP BY lang) SELECT *, round_even("1" / ("0" + "1")::DOUBLE, 2) AS share FROM s""")
+def confusion_pivot(spark, d):
+    out = metrics.contingency(_t(spark, d, "labels").join(_t(spark, d, "documents").select("doc_id", "lang"), "doc_id"), "lang", "quality", [0, 1])
+    return out.withColumn("share", metrics.ratio(F.col("1"), F.col("0") + F.col("1")))
+
+
+@_register("""
+    WITH n AS (SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ALL)
+    SELECT *, round_even(n / sum(n) OVER (PARTITION BY c_mktsegment)::DOUBLE, 4) AS row_share, round_even(n / sum(n) OVER (PARTITION BY c_nationkey)::DOUBLE, 4) AS column_share FROM n""")
+def row_col_percent(spark, d):
+    return metrics.percentages(_t(spark, d, "customer"), "c_mktsegment", "c_nationkey")
+
+
+@_register("""
+    SELECT CASE WHEN grouping(c_mktsegment) = 1 THEN 'TOTAL' ELSE c_mktsegment END AS c_mktsegment, CASE WHEN grouping(o_orderstatus) = 1 THEN 'TOTAL' ELSE o_orderstatus END AS o_orderstatus, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS sum, count(*) AS n
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ROLLUP (c_mktsegment, o_orderstatus)""")
+def margins_rollup(spark, d):
+    rows = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    return metrics.margins(rows, ["c_mktsegment", "o_orderstatus"], "cents")
+
+
+def _diagnoses(spark: SparkSession, d: str) -> DataFrame:
+    of = lambda c: F.when(F.col(c) == 1, "OUI").when(F.col("doc_id") < 200, "NON_silence").otherwise("OUI_avec:punct.OK")
+    return _t(spark, d, "labels").select("doc_id", of("quality").alias("Ftit"), of("toxic").alias("Fdate"))
+
+
+_DIAGNOSES = "(SELECT doc_id, CASE WHEN quality = 1 THEN 'F.aligne' WHEN doc_id < 200 THEN 'F.silence' ELSE 'F.maisOK' END AS Ftit, CASE WHEN toxic = 1 THEN 'F.aligne' WHEN doc_id < 200 THEN 'F.silence' ELSE 'F.maisOK' END AS Fdate FROM labels)"
+
+
+@_register(f"""
+    SELECT field, count(*) FILTER (outcome = 'F.aligne') AS "F.aligne", count(*) FILTER (outcome = 'F.maisOK') AS "F.maisOK", count(*) FILTER (outcome = 'F.silence') AS "F.silence", CAST(0 AS BIGINT) AS "F.bruit", CAST(0 AS BIGINT) AS "F.les2"
+    FROM (SELECT 'Ftit' AS field, Ftit AS outcome FROM {_DIAGNOSES} UNION ALL SELECT 'Fdate', Fdate FROM {_DIAGNOSES}) GROUP BY field""")
+def outcome_melt(spark, d):
+    return metrics.outcome_matrix(metrics.melt(_diagnoses(spark, d), ["doc_id"], ["Ftit", "Fdate"]))
+
+
+@_register(f"SELECT doc_id, CAST((Ftit = 'F.aligne')::INT + (Fdate = 'F.aligne')::INT AS BIGINT) AS aligned, CAST((Ftit = 'F.silence')::INT + (Fdate = 'F.silence')::INT AS BIGINT) AS silent FROM {_DIAGNOSES}")
+def outcomes_in_row(spark, d):
+    n = metrics.outcomes_in_row(["Ftit", "Fdate"])
+    return _diagnoses(spark, d).select("doc_id", n["F.aligne"].alias("aligned"), n["F.silence"].alias("silent"))
+
+
+@_register(f"""
+    WITH s AS (SELECT 'Ftit' AS field, Ftit AS o FROM {_DIAGNOSES} UNION ALL SELECT 'Fdate', Fdate FROM {_DIAGNOSES}), c AS (SELECT field, count(*) AS n, count(*) FILTER (o = 'F.aligne') AS a, count(*) FILTER (o = 'F.maisOK') AS m, count(*) FILTER (o = 'F.silence') AS q FROM s GROUP BY field)
+    SELECT field, round_even(a / n::DOUBLE, 2) AS "Rs", round_even(a / (n - q)::DOUBLE, 2) AS "Ps", round_even(m / n::DOUBLE, 2) AS "gR", round_even(m / (n - q)::DOUBLE, 2) AS "gP" FROM c""")
+def field_recall_precision(spark, d):
+    matrix = metrics.outcome_matrix(metrics.melt(_diagnoses(spark, d), ["doc_id"], ["Ftit", "Fdate"]))
+    return metrics.field_recall_precision(matrix).select("field", "Rs", "Ps", "gR", "gP")
+
+
+@_register("""
+    WITH l AS (SELECT l_orderkey, count(*) AS n_items, CAST(sum(l_quantity) AS BIGINT) AS qty FROM lineitem GROUP BY l_orderkey)
+    SELECT c_mktsegment, count(DISTINCT o_custkey) AS n_docs, count(*) AS n_rows, CAST(sum(n_items) AS BIGINT) AS sum_n_items, CAST(sum(qty) AS BIGINT) AS sum_qty FROM orders JOIN customer ON o_custkey = c_custkey JOIN l ON l_orderkey = o_orderkey GROUP BY c_mktsegment""")
+def multi_stat_by_var(spark, d):
+    items = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_items"), F.sum("l_quantity").cast("long").alias("qty"))
+    rows = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(items, F.col("l_orderkey") == F.col("o_orderkey"))
+    return metrics.statistics_by(rows, "c_mktsegment", "o_custkey", ["n_items", "qty"])
+
+
+@_register("""
+    SELECT lang, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'TOTAL', count(*) FROM documents""")
+def total_row(spark, d):
+    return metrics.with_total(_t(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n")), "lang", ["n"])
+
+
+@_register("""
+    WITH c AS (SELECT source, doc_id, CASE WHEN toxic = 1 THEN 'noise' WHEN quality IS NULL THEN '' ELSE 'ali' END AS status FROM documents LEFT JOIN labels USING (doc_id)), g AS (SELECT source, count(*) FILTER (status = 'ali') AS n_aligned, count(*) FILTER (status <> '') AS n_rows FROM c GROUP BY source)
+    SELECT *, CASE WHEN n_rows = 0 THEN 'no output' WHEN n_aligned = 0 THEN 'all noise' ELSE 'alignable' END AS class FROM g""")
+def document_class(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", "source").join(_t(spark, d, "labels"), "doc_id", "left")
+    return metrics.document_class(rows.withColumn("status", F.when(F.col("toxic") == 1, "noise").when(F.col("quality").isNull(), "").otherwise("ali")), "source", "status")
+
+
+@_register("""
+    SELECT method, verdict, count(*) AS n FROM (SELECT 'quality' AS method, quality AS verdict FROM labels UNION ALL SELECT 'toxic', toxic FROM labels) GROUP BY ALL""")
+def verdict_tally(spark, d):
+    return _t(spark, d, "labels").unpivot(["doc_id"], ["quality", "toxic"], "method", "verdict").groupBy("method", "verdict").agg(F.count("*").alias("n"))
+
+
+# Sampling
+
+
+@_register("SELECT lang AS value, count(*) AS n FROM documents GROUP BY lang")
+def facet_terms(spark, d):
+    return sampling.facet_terms(_t(spark, d, "documents"), "lang")
+
+
+_POOL = "(SELECT s.c_mktsegment, k.c_nationkey, count(c.c_custkey) AS n FROM (SELECT DISTINCT c_mktsegment FROM customer) s CROSS JOIN (SELECT DISTINCT c_nationkey FROM customer) k LEFT JOIN customer c ON c.c_mktsegment = s.c_mktsegment AND c.c_nationkey = k.c_nationkey GROUP BY ALL)"
+_QUOTA = f"(SELECT * FROM (SELECT *, CAST(round_even(200.0::DOUBLE * n / sum(n) OVER () + 0.2::DOUBLE, 0) AS BIGINT) AS quota FROM {_POOL}) WHERE quota > 0)"
+
+
+@_register(f"SELECT * FROM {_POOL}")
+def pool_combos(spark, d):
+    return sampling.pool(_t(spark, d, "customer"), ["c_mktsegment", "c_nationkey"])
+
+
+@_register(f"SELECT * FROM {_QUOTA}")
+def quota_allocation(spark, d):
+    return sampling.quotas(sampling.pool(_t(spark, d, "customer"), ["c_mktsegment", "c_nationkey"]), 200, smoothing=0.2)
+
+
+@_register(f"""
+    SELECT c_custkey, rank FROM (SELECT c_custkey, quota, row_number() OVER (PARTITION BY c.c_mktsegment, c.c_nationkey ORDER BY c_custkey) AS rank FROM customer c JOIN {_QUOTA} q ON c.c_mktsegment = q.c_mktsegment AND c.c_nationkey = q.c_nationkey) WHERE rank <= quota""")
+def stratified_draw(spark, d):
+    strata, c = ["c_mktsegment", "c_nationkey"], _t(spark, d, "customer")
+    return sampling.draw(c, strata, sampling.quotas(sampling.pool(c, strata), 200, smoothing=0.2), [F.col("c_custkey")]).select("c_custkey", "rank")
+
+
+@_register()
+def corrected_sample(spark, d):
+    return sampling.sample(_t(spark, d, "customer"), "c_custkey", ["c_mktsegment", "c_nationkey"], sampling.SampleConfig(size=200)).select("c_custkey", "c_mktsegment", "run")
+
+
+@_register("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def exclusion_anti_join(spark, d):
+    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@_register("SELECT CASE WHEN lang IN ('en', 'de', 'fr') THEN lang ELSE 'others' END AS stratum, count(*) AS n FROM documents GROUP BY 1")
+def complement_strata(spark, d):
+    return _t(spark, d, "documents").groupBy(sampling.complement(F.col("lang"), ["en", "de", "fr"]).alias("stratum")).agg(F.count("*").alias("n"))
+
+
+@_register("""
+    SELECT CASE WHEN year(o_orderdate) <= 1979 THEN '[* TO 1979]' WHEN year(o_orderdate) <= 1999 THEN '[1980 TO 1999]' ELSE '[2000 TO *]' END AS period, count(*) AS n FROM orders GROUP BY 1""")
+def period_bins(spark, d):
+    return _t(spark, d, "orders").groupBy(vl.period(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("period")).agg(F.count("*").alias("n"))
+
+
+# Ordered lines
+
+
+@_register(f"SELECT doc_key, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS total, avg(length(line)) AS mean FROM {_LINES} GROUP BY doc_key")
+def line_statistics(spark, d):
+    return ln.line_statistics(_lines(spark, d), "doc_key")
+
+
+def _sql_score(line: str) -> str:
+    q = lambda p: p.replace("'", "''")
+    points = [f"{w} * len(regexp_extract_all({line}, '{q(p)}'))" for w, p in ln.FEATURES] + [f"{w} * regexp_matches({line}, '{q(p)}')::INT" for w, p in ln.STARTS]
+    return "(" + " + ".join(points) + ")"
+
+
+@_register(f"SELECT doc_key, CAST(i AS INTEGER) AS i, CAST({_sql_score('line')} AS INTEGER) AS score, regexp_matches(line, '{ln.HEADER}') AS header FROM {_LINES} WHERE {_sql_score('line')} > 0")
+def line_score(spark, d):
+    return _lines(spark, d).select("doc_key", "i", ln.line_score(F.col("line")).alias("score"), ln.is_header(F.col("line")).alias("header")).where("score > 0")
+
+
+@_register(rf"""
+    WITH l AS (SELECT conv_id, turn AS i, unnest(list_filter(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+'), lambda t: t NOT IN ('and', 'in', 'In'))) AS token FROM conversations WHERE role = 'assistant'),
+    r AS (SELECT conv_id, turn AS j, unnest(list_distinct(list_filter(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+'), lambda t: t NOT IN ('and', 'in', 'In')))) AS token FROM conversations WHERE role = 'user')
+    SELECT conv_id, i, j, count(*) AS score FROM l JOIN r USING (conv_id, token) GROUP BY conv_id, i, j""")
+def cooccurrence(spark, d):
+    c = _t(spark, d, "conversations")
+    return ln.cooccurrence(c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("i"), F.col("text").alias("line")), c.where("role = 'user'").select("conv_id", F.col("turn").alias("j"), "text"), "conv_id")
+
+
+@_register("SELECT conv_id, turn, CAST(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS BIGINT) AS ahead FROM conversations")
+def forward_window(spark, d):
+    return ln.forward_window(_t(spark, d, "conversations").withColumn("n", F.length("text")), ["conv_id"], "turn", "n", 3).select("conv_id", "turn", "ahead")
+
+
+_ZONE = f"""
+    WITH s AS (SELECT doc_key, i, length(line) AS score FROM {_LINES}), n AS (SELECT doc_key, CAST(ceil(count(*) / 4.0) AS INTEGER) AS r, max(i) AS last_i FROM s GROUP BY doc_key),
+    a AS (SELECT s.doc_key, s.i, s.score, n.r, n.last_i, (SELECT sum(x.score) FROM s x WHERE x.doc_key = s.doc_key AND x.i BETWEEN s.i AND s.i + 3 * n.r) AS ahead, coalesce((SELECT sum(x.score) FROM s x WHERE x.doc_key = s.doc_key AND x.i >= s.i AND x.i < s.i + least(n.r // 2, 10)), 0) AS short FROM s JOIN n USING (doc_key)),
+    b AS (SELECT doc_key, r, last_i, CASE WHEN r = 1 THEN arg_max(i, (score, -i)) ELSE greatest(arg_max(i, (ahead, -i)) - 1, 0) END AS first FROM a GROUP BY doc_key, r, last_i),
+    e AS (SELECT b.doc_key, b.r, b.first, coalesce(min(a.i) - 1, b.last_i) AS last FROM b LEFT JOIN a ON a.doc_key = b.doc_key AND a.i > b.first AND a.short <= 0 GROUP BY b.doc_key, b.r, b.first, b.last_i)"""
+
+
+@_register(_ZONE + ' SELECT doc_key, CAST(CASE WHEN last - first <= 12 * r THEN first END AS INTEGER) AS "first", CAST(CASE WHEN last - first <= 12 * r THEN last END AS INTEGER) AS "last", r AS n_refs FROM e')
+def zone_detect(spark, d):
+    rows = _lines(spark, d)
+    n = rows.groupBy("doc_key").agg(F.ceil(F.count("*") / 4).cast("int").alias("n_refs"))
+    return ln.zones(rows.join(n, "doc_key").select("doc_key", "i", F.length("line").alias("score"), F.lit(False).alias("header"), "n_refs"), "doc_key")
+
+
+@_register("""
+    WITH c AS (SELECT *, CASE WHEN role IS NOT DISTINCT FROM lag(role) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)), k AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM c)
+    SELECT conv_id, CAST(island AS BIGINT) AS island, any_value(role) AS role, min(turn) AS "first", count(*) AS n, string_agg(text, '¤' ORDER BY turn) AS text FROM k GROUP BY conv_id, island""")
+def islands(spark, d):
+    return ln.islands(_t(spark, d, "conversations"), ["conv_id"], "turn", "role", "text")
+
+
+@_register("SELECT conv_id, role, string_agg(text, '¤' ORDER BY turn) AS text FROM conversations GROUP BY conv_id, role")
+def group_lines(spark, d):
+    return ln.group_lines(_t(spark, d, "conversations"), ["conv_id", "role"], "turn", "text")
+
+
+@_register("""
+    SELECT p_partkey, p_name || CASE WHEN k > 0 THEN '-' || k ELSE '' END AS unique_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey) - 1 AS k FROM part)""")
+def dup_suffix(spark, d):
+    return ln.duplicate_suffix(_t(spark, d, "part"), ["p_brand"], "p_name", ["p_partkey"]).select("p_partkey", "unique_name")
+
+
+@_register()
+def line_champions(spark, d):
+    c = _t(spark, d, "conversations")
+    lines = c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("i"), F.col("text").alias("line"))
+    refs = c.where("role = 'user'").select("conv_id", F.col("turn").alias("j"), "text")
+    return ln.champions(ln.cooccurrence(lines, refs, "conv_id"), lines.join(refs.groupBy("conv_id").agg(F.count("*").alias("n_refs")), "conv_id"), "conv_id")
+
+
+# Values
+
+
+@_register("""
+    SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN 'Department of Works, University of ' || n_name ELSE s_name END AS org, n_name AS address, r_name AS country, split_part(s_name, '#', 1) || ' X' AS forename, split_part(s_name, '#', 2) AS surname
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_nationkey < 5
+    UNION ALL SELECT s_suppkey, '', s_name || ', ' || n_name, r_name, split_part(s_name, '#', 1) || ' X', split_part(s_name, '#', 2) FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_nationkey >= 5""")
+def org_author_split(spark, d):
+    s = _t(spark, d, "supplier").join(_t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    who = F.when(F.col("s_nationkey") < 5, F.concat(F.lit("Department of Works, University of "), "n_name")).otherwise(F.col("s_name"))
+    parts = vl.affiliation_parts(F.concat_ws(", ", who, "n_name", "r_name"))
+    name = vl.split_name(F.concat(F.split_part("s_name", F.lit("#"), F.lit(1)), F.lit(" X "), F.split_part("s_name", F.lit("#"), F.lit(2))))
+    return s.select("s_suppkey", parts.alias("p"), name.alias("n")).select("s_suppkey", "p.org", "p.address", "p.country", "n.forename", "n.surname")
+
+
+@_register("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y-%m') AS by_name, strftime(o_orderdate, '%Y') AS year FROM orders")
+def iso_dates(spark, d):
+    y, m, day = (F.date_format("o_orderdate", p) for p in ("y", "M", "d"))
+    iso = vl.iso_date(y, m, day)
+    return _t(spark, d, "orders").select("o_orderkey", iso.alias("iso"), vl.iso_date(y, F.date_format("o_orderdate", "MMMM"), F.lit("")).alias("by_name"), vl.year_prefix(iso).alias("year"))
+
+
+@_register("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type FROM events")
+def json_fields(spark, d):
+    return _t(spark, d, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"), "event_type")

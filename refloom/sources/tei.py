@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from refloom.functions import text as tx
+from refloom.functions.layout import spread
 
 # Where a reference's values stand, and the search field that each feeds.
 FIELDS = {
@@ -39,7 +41,7 @@ FIELDS = {
 }
 UNKNOWN_FIELD = "_CHAMP_INCONNU_"
 NUMERIC = ("publicationDate", "host.volume", "host.issue", "host.pages.first", "host.pages.last")
-_BIB = r"(?s)(<biblStruct\b.*?(?:</biblStruct>|(?<=/)>))"
+_BIB = r"(?s)(<biblStruct\b[^>]*/>|<biblStruct\b.*?</biblStruct>)"
 
 # The element that tells a publisher's dialect.
 DIALECTS = (("article/front|article/front-matter", "nlm"), ("converted-article|article/item-info", "elsevier"), ("Publisher|A++Article", "springer"), ("article/article-metadata", "iop"), ("article/pubfm|headerx", "nature"), ("component/header", "wiley"), ("SAGEmeta", "sage"), ("article/art-admin", "rsc"), ("edp-article", "edp"))
@@ -83,8 +85,6 @@ def references(docs: DataFrame, wide: bool = False) -> DataFrame:
         strict = F.when(F.size(anywhere) > F.size(strict), anywhere).otherwise(strict)
     rows = docs.select("doc_key", F.posexplode(strict).alias("n", "bib"))
     own = F.nullif(F.regexp_extract("bib", r'^<biblStruct\b[^>]*\bxml:id="([^"]*)"', 1), F.lit(""))
-    from pyspark.sql import Window as W
-
     rows = rows.withColumn("__id", own)
     k = F.count(F.when(F.col("__id").isNull(), 1)).over(W.partitionBy("doc_key").orderBy("n").rowsBetween(W.unboundedPreceding, 0))
     return rows.select("doc_key", "n", F.coalesce("__id", F.concat(F.lit("NO_ID-"), k)).alias("bib_id"), "bib")
@@ -112,7 +112,7 @@ def subvalues(bibs: DataFrame) -> DataFrame:
         elif last == "date":
             x = "/biblStruct/monogr/imprint/date[not(@when) and not(@type)]/text()"
         parts.append(F.struct(F.lit(seq).alias("seq"), F.lit(path).alias("path"), F.lit(field).alias("field"), F.xpath("bib", F.lit(x)).alias("found")))
-    rows = bibs.select("doc_key", "bib_id", F.inline(F.array(*parts))).select("doc_key", "bib_id", "seq", "path", "field", F.posexplode("found").alias("k", "raw"))
+    rows = spread(bibs, "doc_key", "bib_id").select("doc_key", "bib_id", F.inline(F.array(*parts))).select("doc_key", "bib_id", "seq", "path", "field", F.posexplode("found").alias("k", "raw"))
     value = tx.query_fragment(F.col("raw"))
     return rows.withColumn("value", value).where(~F.col("value").rlike(r"(?U)^\W*$")).drop("raw")
 
@@ -147,7 +147,7 @@ def canonical_fields(bibs: DataFrame) -> DataFrame:
     """The eight compared fields and the names of each reference; volume, pages and dates where either spelling has them."""
     one = lambda *paths: F.coalesce(*[F.nullif(F.xpath_string("bib", F.lit(f"/biblStruct/{p}")), F.lit("")) for p in paths])
     unit = lambda u: f'monogr/imprint/biblScope[@unit="{u}"]'
-    return bibs.withColumns({
+    return spread(bibs, "doc_key", "bib_id").withColumns({
         "tit": one('analytic/title[@level="a"]', "analytic/title", 'monogr/title[@level="m"]'), "date": F.substring(one("monogr/imprint/date/@when"), 1, 4), "j": one('monogr/title[@level="j"]'),
         "vol": one(unit("vol"), unit("volume")), "iss": one(unit("issue"), unit("iss")), "fpg": one(unit("page") + "/@from", unit("pp") + "/@from"), "lpg": one(unit("page") + "/@to", unit("pp") + "/@to"),
         "psher": one("monogr/imprint/publisher"), "names": F.xpath("bib", F.lit("//surname/text()")), "has_analytic": F.col("bib").rlike(r"<analytic[\s/>]"),
