@@ -6,6 +6,7 @@ A step is (kind, what, by): "re" replaces a pattern that Java and RE2 read alike
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable
 from functools import cache, reduce
@@ -48,9 +49,16 @@ COMMON_STEPS: list[Step] = SPACE_STEPS + PUNCT_STEPS + JOIN_HYPHEN + LIGATURE_ST
 
 
 def apply(value: Column, steps: list[Step]) -> Column:
-    """The column after the steps."""
-    for kind, what, by in steps:
-        if kind == "re":
+    """The column after the steps. A run of literal steps is skipped for rows that hold none of them."""
+    k = 0
+    while k < len(steps):
+        kind, what, by = steps[k]
+        run = list(itertools.takewhile(lambda x: x[0] == "lit", steps[k:]))
+        k += len(run) if len(run) > 2 else 1
+        if len(run) > 2:
+            done = reduce(lambda v, x: F.replace(v, F.lit(x[1]), F.lit(x[2])), run, value)
+            value = F.when(value.rlike("|".join(re.escape(x[1]) for x in run) if any(len(x[1]) > 1 for x in run) else "[" + "".join(x[1] for x in run) + "]"), done).otherwise(value)
+        elif kind == "re":
             value = F.regexp_replace(value, what, by.replace("$", r"\$").replace("\\1", "$1"))
         elif kind == "tr":
             value = F.translate(value, what, by)
@@ -149,7 +157,7 @@ def clean_equal(a: Column, b: Column, accents: bool = False, keys: tuple[Column,
     keys are the match keys of both where they are columns already, as in joins.
     """
     (ka, kb), la, lb = keys or (match_key(a, accents), match_key(b, accents)), F.length(a), F.length(b)
-    close = (la > 5) & (lb > 5) & (la / lb > 0.7) & (la / lb < 1.3)
+    close = (la > 5) & (lb > 5) & (F.try_divide(la, lb) > 0.7) & (F.try_divide(la, lb) < 1.3)
     return F.coalesce(length_gate(a, b) & ((ka == kb) | (close & (F.contains(ka, kb) | F.contains(kb, ka)))), F.lit(False))
 
 

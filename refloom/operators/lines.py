@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from refloom.functions.layout import spread
+
 # The heading of a reference list, and what speaks for a reference line: (weight, pattern).
 HEADER = r"R ?[Ee] ?[Ff] ?[Ee] ?[Rr] ?[Ee] ?[Nn] ?[Cc] ?[Ee] ?[Ss]?s*:?\s*"
 FEATURES = (
@@ -73,7 +75,7 @@ def zones(scored: DataFrame, key: str, n_refs: str = "n_refs", parity: bool = Fa
     of 3 n + 1 lines (never before the first line, but with parity). It goes on while
     the next short sum, of min(n / 2, 10) lines, is positive.
     """
-    per = scored.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", F.col("score").cast("bigint").alias("score")))).alias("__l"), F.max(F.when(F.col("header"), F.col("i"))).alias("__h"), F.max(n_refs).cast("int").alias("n_refs"))
+    per = spread(scored, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", F.col("score").cast("bigint").alias("score")))).alias("__l"), F.max(F.when(F.col("header"), F.col("i"))).alias("__h"), F.max(n_refs).cast("int").alias("n_refs"))
     per = per.withColumn("__s", F.transform("__l", lambda x: x["score"]))
     best = lambda a: (F.array_position(a, F.array_max(a)) - 1).cast("int")
     per = per.withColumns({"__long": forward_sums(F.col("__s"), F.col("n_refs") * 3 + 1), "__short": forward_sums(F.col("__s"), F.least((F.col("n_refs") / 2).cast("int"), F.lit(10)))})

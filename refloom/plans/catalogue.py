@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from refloom.functions import text as tx
 from refloom.functions import values as vl
+from refloom.functions.layout import spread
 from refloom.operators import convert, linkage, metrics, projection, query, sampling
 from refloom.operators import lines as ln
 from refloom.sources import tables, tei
@@ -90,7 +91,7 @@ def unaccent_text(spark, d):
     c AS (SELECT *, {tx.match_key_sql('line')} AS k FROM b)
     SELECT l.doc_key, CAST(l.i AS INTEGER) AS i, c.item_id FROM l JOIN c ON l.k = c.k AND l.k <> '' AND length(l.line) <= 2 * length(c.line) AND length(c.line) <= 2 * length(l.line)""")
 def soft_equal_pairs(spark, d):
-    left = _lines(spark, d).withColumn("k", tx.match_key(F.col("line"))).where("k <> ''")
+    left = spread(_lines(spark, d), "doc_key").withColumn("k", tx.match_key(F.col("line"))).where("k <> ''")
     right = _t(spark, d, "benchmark").select("item_id", F.explode(F.split("text", "\n")).alias("gold")).withColumn("k", tx.match_key(F.col("gold")))
     return left.join(right, "k").where(tx.length_gate(F.col("line"), F.col("gold"))).select("doc_key", "i", "item_id")
 

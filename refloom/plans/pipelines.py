@@ -22,9 +22,9 @@ def link(docs: DataFrame, catalogue: DataFrame, abbreviations: DataFrame | None
     first = lambda f: F.first(F.when(F.col("field") == f, F.col("value")), ignorenulls=True)
     facts = values.groupBy("doc_key", "bib_id").agg(first("publicationDate").alias("date"), first("host.volume").alias("volume"), first("host.pages.first").alias("first_page"), first("host.title").alias("host_title"), first("title").alias("title"), first("author.name").alias("author"))
     facts = facts.withColumn("issn", F.lit(None).cast("string")) if abbreviations is None else linkage.with_issn(facts, abbreviations)
-    joined = facts.join(top, ["doc_key", "bib_id"]).join(catalogue.alias("h"), "id")
-    rule = linkage.validate_hit(F.col, lambda c: F.col(f"h.{c}"), F.col("issn"))
-    found = joined.withColumn("rule", rule).where("rule is not null").select("doc_key", "bib_id", F.col("id").alias("target"))
+    joined = facts.join(top, ["doc_key", "bib_id"]).alias("b").join(catalogue.alias("h"), "id")
+    rule = linkage.validate_hit(lambda c: F.col(f"b.{c}"), lambda c: F.col(f"h.{c}"), F.col("b.issn"))
+    found = joined.withColumn("rule", rule).where("rule is not null").select("b.doc_key", "b.bib_id", F.col("id").alias("target"))
     return tei.link_table(bibs.select("doc_key", "bib_id"), found)
 
 
