@@ -24,8 +24,8 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 NONSPACE = np.ones(256, dtype=bool)
 NONSPACE[0x09:0x0E] = NONSPACE[0x20] = False
 
-CHUNK_BYTES = 1 << 21
-BLOCK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: list[np.ndarray] = []
 
