@@ -8,6 +8,7 @@ prefix sums, so that no Python code runs per word; memory is bounded by blocks.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -26,6 +27,7 @@ NONSPACE[0x09:0x0E] = NONSPACE[0x20] = False
 
 CHUNK_BYTES = 1 << 19
 BLOCK_BYTES = 1 << 18
+_LIBC = ctypes.CDLL(None)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: list[np.ndarray] = []
 
@@ -119,6 +121,14 @@ def word_chunks(column: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, in
         j = min(j, n)
         yield i, j, split_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], is_word)
         i = j
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, since workers are kept between stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 _PLACE = np.array([pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(16)], dtype=np.uint64)
