@@ -144,6 +144,25 @@ def test_join(spark, monkeypatch):
     assert ngram_join.ngram_jaccard_join(docs_of(spark, [])).count() == 0
 
 
+def test_join_strays(spark, monkeypatch):
+    """Cells of several blocks in which most sets are connected with the pivot through others only, or not at all."""
+    rng = random.Random(11)
+    texts = []
+    for size in (40, 60, 80):
+        words = prose(rng, 400).split()
+        texts += [" ".join(words[k : k + size]) for k in range(0, size, 2)]  # chains
+        texts += near_copies(rng, " ".join(words[:size]), 30, size // 8)  # some near, some not
+    rows = list(enumerate(texts, 1))
+    rng.shuffle(rows)
+    want = key(brute_components(rows))
+    for size in (2, 5, 1024):
+        monkeypatch.setattr(ngram_join, "CELL_ROWS", size)
+        assert key(map(tuple, ngram_join.ngram_jaccard_join(docs_of(spark, rows)).collect())) == want
+    sets = [np.sort(np.array(x, np.uint64)) for x in (range(10), range(1, 11), range(50, 60), range(51, 61))]
+    links, strays = ngram_join.join_cell(np.arange(4), sets)
+    assert sorted(links) == [(0, 1), (2, 3)] and strays.tolist() == [2, 3]
+
+
 def test_keep_one(spark):
     t = prose(random.Random(3), 50)
     kept = ngram_join.keep_one(docs_of(spark, [(5, t), (3, t), (9, "other words"), (None, t)]))
