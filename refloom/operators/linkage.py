@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Callable
 
@@ -153,18 +152,21 @@ def diagnosis(gold: str | None, todo: str | None, field: str = "", substring_inf
     if field == "tit" and "http" in todo and len(gold) > 7 and gold in todo:
         return "NON_+long_tit_http" + sizes(len(gold), len(todo), "+")
     # Combinations of one size follow each other in order; what a shorter one left is where longer ones go on.
-    left = {(): (gold, todo, "")}
-    for size in range(1, len(COMPARERS) + 1):
-        level = {}
-        for combo in itertools.combinations(COMPARERS, size):
-            g, t, trace = left[combo[:-1]]
-            name = combo[-1]
-            ok, g2, t2 = COMPARERS[name](g, t)
-            stamp = {"allongé.": f"allongé{sizes(len(g), len(t), '+')}.", "raccourci.": f"raccourci{sizes(len(g), len(t), '-')}."}.get(name, name)
-            if ok:
-                return f"OUI_avec:{trace}{stamp}OK"
-            level[combo] = (g2, t2, trace + stamp)
-        left = level
+    # A state that an earlier combination reached, with no fewer comparers still ahead, can't end sooner: it is not followed.
+    names = list(COMPARERS)
+    level, reached = [(-1, gold, todo, "")], {(gold, todo): -1}
+    while level:
+        longer = []
+        for last, g, t, trace in level:
+            for k in range(last + 1, len(names)):
+                ok, g2, t2 = COMPARERS[names[k]](g, t)
+                stamp = {"allongé.": f"allongé{sizes(len(g), len(t), '+')}.", "raccourci.": f"raccourci{sizes(len(g), len(t), '-')}."}.get(names[k], names[k])
+                if ok:
+                    return f"OUI_avec:{trace}{stamp}OK"
+                if reached.get((g2, t2), len(names)) > k:
+                    reached[g2, t2] = k
+                    longer.append((k, g2, t2, trace + stamp))
+        level = longer
     return "NON_diff"
 
 

@@ -1,10 +1,13 @@
+import itertools
+import random
+
 import pandas as pd
 from hypothesis import given
 from hypothesis import strategies as st
 
 from refloom.functions import text as tx
 from refloom.functions import values as vl
-from refloom.operators.linkage import diagnosis
+from refloom.operators.linkage import COMPARERS, diagnosis
 from pyspark.sql import functions as F
 
 
@@ -77,3 +80,26 @@ def test_values(spark):
     assert v(vl.is_isbn(F.col("x")), x="978-0-306-40615-7")
     assert v(vl.language_code(F.col("x")), x="German") == "de"
     assert v(vl.split_name(F.col("x")), x="Ada B Lovelace").surname == "Lovelace"
+
+
+def every_combination(gold, todo):
+    """The diagnosis of unequal texts by trying all combinations of comparers, smallest first."""
+    left = {(): (gold, todo, "")}
+    for size in range(1, len(COMPARERS) + 1):
+        level = {}
+        for combo in itertools.combinations(COMPARERS, size):
+            g, t, trace = left[combo[:-1]]
+            ok, g, t = COMPARERS[combo[-1]](g, t)
+            if ok:
+                return f"OUI_avec:{trace}{combo[-1]}OK"
+            level[combo] = (g, t, trace + combo[-1])
+        left = level
+    return "NON_diff"
+
+
+def test_diagnosis_tries_every_combination():
+    rng, letters = random.Random(5), "abO0l1I -.,;:é’'()/&"
+    for _ in range(300):
+        gold = "".join(rng.choices(letters, k=rng.randrange(1, 16)))
+        todo = "".join((rng.choice(letters) if rng.random() < 0.12 else c) + ("" if rng.random() < 0.9 else rng.choice("- ,.")) for c in gold if rng.random() < 0.95) or "x"
+        assert gold == todo or diagnosis(gold, todo) == every_combination(gold, todo)
