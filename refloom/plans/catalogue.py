@@ -256,7 +256,6 @@ def recall_precision_by_language(spark, d):
     rows = linkage.align(*_gold_and_todo(spark, d)).join(_t(spark, d, "documents").select(F.col("doc_id").alias("doc_key"), "lang"), "doc_key")
     return metrics.recall_precision(metrics.contingency(rows, "lang", "alignment", ["ali", "silence", "noise"]), "ali", "silence", "noise")
 
-
 FLAGSHIP = recall_precision_by_language
 
 
@@ -520,3 +519,89 @@ def iso_dates(spark, d):
 @_register("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type FROM events")
 def json_fields(spark, d):
     return _t(spark, d, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"), "event_type")
+
+
+@_register("""
+    SELECT c_custkey, '10.5/' || c_custkey AS doi, ['en', 'fr', 'de', 'it'][c_nationkey % 4 + 1] AS lang, c_custkey % 2 = 0 AS isbn, replace(printf('%.2f', c_acctbal), '.', ',') AS balance,
+           CASE WHEN 7 * c_custkey < 60 THEN 7 * c_custkey || ' s' WHEN 7 * c_custkey < 3600 THEN CAST(round_even(7 * c_custkey / 60, 0) AS INTEGER) || ' min' ELSE round_even(7 * c_custkey / 3600, 1) || ' h' END AS took
+    FROM customer""")
+def value_forms(spark, d):
+    prefix = F.when(F.col("c_nationkey") % 3 == 0, "https://doi.org/").when(F.col("c_nationkey") % 3 == 1, "doi: ").otherwise("")
+    lang = F.element_at(F.array(*map(F.lit, ("English", "French", "GERMAN", "IT"))), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    number = F.concat(F.lit("978-"), F.lpad(F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 2 == 0, 10).otherwise(8), F.lit("0")))
+    return _t(spark, d, "customer").select(
+        "c_custkey", vl.bare_doi(F.concat(prefix, F.lit("10.5/"), "c_custkey")).alias("doi"), vl.language_code(lang).alias("lang"), vl.is_isbn(number).alias("isbn"),
+        metrics.decimal_comma(F.col("c_acctbal")).alias("balance"), vl.duration(F.col("c_custkey") * 7).alias("took"),
+    )
+
+
+@_register("""
+    WITH p AS (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS f, CAST(o_orderkey + o_custkey % 40 AS VARCHAR) AS l FROM orders),
+    c AS (SELECT *, length(l) AS n, len(list_filter(range(1, length(l) + 1), lambda k: substr(l, k, 1) = substr(f, k, 1))) AS common FROM p)
+    SELECT o_orderkey, CASE WHEN l = f THEN l || ' ' || l WHEN length(f) = n AND common > 0 THEN l || ' ' || substr(l, common + 1) WHEN length(f) = n THEN l
+        ELSE array_to_string([l] || list_transform(range(1, n), lambda k: right(l, k)), ' ') END AS forms FROM c""")
+def last_page_forms(spark, d):
+    first, last = F.col("o_orderkey").cast("string"), (F.col("o_orderkey") + F.col("o_custkey") % 40).cast("string")
+    return _t(spark, d, "orders").select("o_orderkey", F.array_join(vl.page_suffixes(last, first), " ").alias("forms"))
+
+
+# Names, links and manifests
+
+
+@_register("""
+    SELECT *, round_even(ok / gold, 2) AS R, round_even(ok / todo, 2) AS P
+    FROM (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS ok, count(*) AS gold, count(*) FILTER (o_orderstatus <> 'P') AS todo FROM orders GROUP BY o_orderpriority)""")
+def name_recall_precision(spark, d):
+    n = lambda test: F.count(F.when(test, 1))
+    counts = _t(spark, d, "orders").groupBy("o_orderpriority").agg(n(F.col("o_orderstatus") == "F").alias("ok"), F.count("*").alias("gold"), n(F.col("o_orderstatus") != "P").alias("todo"))
+    return metrics.name_recall_precision(counts, "ok", "gold", "todo")
+
+
+@_register("SELECT conv_id, bool_and(turn + 1 = n) AS consecutive FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) GROUP BY conv_id")
+def consecutive_labels(spark, d):
+    return ln.numbered_consecutively(_t(spark, d, "conversations").withColumn("n", F.col("turn") + 1), "conv_id", "turn")
+
+
+@_register("SELECT n_nationkey, lpad(CAST(row_number() OVER (ORDER BY n_name) AS VARCHAR), 4, '0') AS seq FROM nation")
+def padded_numbers(spark, d):
+    return ln.padded_sequence(_t(spark, d, "nation"), ["n_name"], 4).select("n_nationkey", "seq")
+
+
+@_register("""
+    WITH l AS (SELECT source || '-' || CAST(doc_id // 2 AS VARCHAR) AS basename, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN 0 ELSE n_chars END AS size FROM documents),
+    r AS (SELECT *, row_number() OVER (PARTITION BY basename ORDER BY size IS NULL, size) AS n FROM l)
+    SELECT basename, size, CASE WHEN n > 1 THEN 'duplicate' WHEN size IS NULL THEN 'absent' WHEN size = 0 THEN 'empty' END AS skip FROM r""")
+def dataset_links(spark, d):
+    size = F.when(F.col("doc_id") % 7 != 0, F.when(F.col("doc_id") % 5 == 0, 0).otherwise(F.col("n_chars")))
+    return tables.dataset_links(_t(spark, d, "documents").select(F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 2).cast("string")).alias("basename"), size.alias("size")))
+
+
+@_register("""
+    SELECT d.source AS corpus, d.lang AS shelf, CAST(d.doc_id AS VARCHAR) AS basename, CASE WHEN l.doc_id IS NOT NULL THEN 'label/' || l.doc_id END AS path, l.doc_id IS NOT NULL AND d.source IS NOT NULL AND d.lang IS NOT NULL AS present
+    FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")
+def shelf_manifest(spark, d):
+    expected = _t(spark, d, "documents").select("doc_id", F.col("source").alias("corpus"), F.col("lang").alias("shelf"), F.col("doc_id").cast("string").alias("basename"))
+    files = expected.join(_t(spark, d, "labels").select("doc_id").distinct(), "doc_id").withColumn("path", F.concat(F.lit("label/"), "basename"))
+    return tables.manifest(files.drop("doc_id"), expected.drop("doc_id"))
+
+
+@_register("""
+    SELECT c_custkey, upper(n_name) || '. ' AS host_title, CAST(n_nationkey AS VARCHAR) AS issn FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def journal_issn(spark, d):
+    nation = _t(spark, d, "nation")
+    known = nation.select(tables.abbreviation_key(F.col("n_name")).alias("key"), F.col("n_nationkey").cast("string").alias("issn"))
+    bibs = _t(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.upper("n_name"), F.lit(". ")).alias("host_title"))
+    return linkage.with_issn(bibs, known)
+
+
+@_register("""
+    SELECT doc_id, CASE WHEN lang IS NOT NULL THEN 'NON_silence_captif' END AS lang, CASE WHEN source IS NOT NULL THEN 'NON_silence_captif' END AS source
+    FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def captive_fields(spark, d):
+    alone = _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id", "left_anti")
+    return linkage.unmatched(alone, ["doc_id"], True, ("lang", "source"))
+
+
+@_register()
+def checked_sequences(spark, d):
+    return ln.sequences(line_champions(spark, d), "conv_id")
