@@ -1,16 +1,17 @@
 """License scans by a positional rare-token index.
 
 Templates are word sequences in which some runs of words are mandatory. The index
-has, for each word, its postings (template, position). For each file the words of
-the index that occur in it are ranked by inverse document frequency over the
-templates, the highest-ranking ones are looked up, postings are intersected by
-relative position (file position less template position), and a template counts
-where its mandatory phrases stand at that very offset.
+has, for each template, the postings (word, position) of its mandatory words of the
+highest inverse document frequency over the templates. A template all of whose
+mandatory words occur in a file is looked up by that one of these words that has
+the fewest places in the file; a place gives an offset (file position less template
+position), and a template counts where its mandatory phrases stand at that very
+offset. A counting template has all its mandatory words at one offset, so none is
+missed, however many words of the index a file has.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -44,11 +45,6 @@ TEMPLATES = {
     "reserved": ["[all rights reserved]"],
 }
 
-#: Distinct words of the index that a file is looked up by.
-RARE_WORDS = 24
-#: Words in more of the templates than this share aren't indexed but where a template has no other.
-COMMON = 0.25
-
 
 class Index:
     """The positional index; its size is fixed by TEMPLATES."""
@@ -78,16 +74,16 @@ class Index:
         for t in self.templates:
             df[np.unique(t)] += 1
         self.idf = np.log(len(self.templates) / np.maximum(df, 1))
-        cut = math.log(1 / COMMON)
-        postings: dict[int, list[tuple[int, int]]] = {}
-        for k, t in enumerate(self.templates):
-            best = self.idf[t].max()
-            for at, w in enumerate(t):
-                if self.idf[w] >= min(cut, best):
-                    postings.setdefault(int(w), []).append((k, at))
-        self.postings = postings
+        self.needs = np.zeros((len(self.templates), len(vocabulary)), bool)
         self.rare = np.zeros(len(vocabulary), bool)
-        self.rare[list(postings)] = True
+        self.postings: list[np.ndarray] = []
+        for k, t in enumerate(self.templates):
+            at = np.concatenate([np.arange(a, b) for a, b in self.keys[k]])
+            self.needs[k, t[at]] = True
+            self.postings.append(at[self.idf[t[at]] == self.idf[t[at]].max()])
+            self.rare[t[self.postings[k]]] = True
+        for phrase, _ in self.base:
+            self.rare[phrase[np.argmax(self.idf[phrase])]] = True
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -110,17 +106,12 @@ class Index:
             found = self.stands(ids, known[ids[known] == phrase[k]] - k, phrase)
             if len(found):
                 base.append((label, found))
-        rare = known[self.rare[ids[known]]]
-        present = np.unique(ids[rare])
-        top = present[np.argsort(-self.idf[present], kind="stable")[:RARE_WORDS]]
-        offsets: dict[int, list[np.ndarray]] = {}
-        for w in top:
-            places = rare[ids[rare] == w]
-            for k, at in self.postings[int(w)]:
-                offsets.setdefault(k, []).append(places - at)
+        count = np.bincount(ids[known], minlength=len(self.hashes))
         labels: dict[str, float] = {}
-        for k, found in offsets.items():
-            template, offset = self.templates[k], np.unique(np.concatenate(found))
+        for k in np.flatnonzero(~(self.needs & (count == 0)).any(axis=1)):
+            template = self.templates[k]
+            first = self.postings[k][np.argmin(count[template[self.postings[k]]])]
+            offset = known[ids[known] == template[first]] - first
             for a, b in self.keys[k]:
                 offset = self.stands(ids, offset + a, template[a:b]) - a
             if len(offset):

@@ -86,6 +86,41 @@ def test_licenses(spark):
     assert licenses.license_scan(docs_of(spark, [])).count() == 0
 
 
+def brute_labels(text):
+    """Labels, with the best share of template words, of all templates at all offsets."""
+    words, best = ALNUM_RE.findall(lower(text)), {p: 1.0 for p in brute_base(text)[4].split(",") if p}
+    for label, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            parts, keys, inside = notice.split(" "), [], False
+            for k, w in enumerate(parts):
+                inside |= w.startswith("[")
+                if inside:
+                    keys.append(k)
+                inside &= not w.endswith("]")
+            plain = [w.strip("[]") for w in parts]
+            at = lambda k: words[k] if 0 <= k < len(words) else None
+            for o in range(-len(plain), len(words)):
+                if all(at(o + k) == plain[k] for k in keys):
+                    best[label] = max(best.get(label, 0.0), sum(at(o + k) == w for k, w in enumerate(plain)) / len(plain))
+    return ",".join(sorted(best)), max(best.values(), default=0.0)
+
+
+def test_licenses_in_long_texts(spark):
+    """A text with all words of the index, in which each notice must be found whatever else occurs; prose of index words finds what brute force does."""
+    rng = random.Random(11)
+    notices = [n for own in licenses.TEMPLATES.values() for n in own]
+    vocabulary = sorted({w.strip("[]") for n in notices for w in n.split(" ")})
+    filler = " x ".join(w for w in vocabulary for _ in range(3))
+    rows = [(k, f"{filler} x {n.replace('[', '').replace(']', '')} x {filler}") for k, n in enumerate(notices)]
+    rows += [(100, filler), (101, " y ".join(n.replace("[", "").replace("]", "") for n in notices))]
+    rows += [(200 + k, " ".join(part for _ in range(40) for part in (rng.choice(vocabulary), re.sub(r".*\[(.*?)\].*", r"\1", rng.choice(notices))) if rng.random() < 0.6)) for k in range(20)]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(docs_of(spark, rows)).collect()}
+    want = {i: brute_labels(t) for i, t in rows}
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-12 for i in want)
+    assert len(got[101][0].split(",")) == len(licenses.TEMPLATES) and got[100] == ("", 0.0)
+
+
 # 2. N-gram Jaccard join
 
 
