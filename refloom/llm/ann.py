@@ -20,9 +20,12 @@ SUB, WORDS, ROUNDS, SWEEPS = 2, 16, 8, 2
 #: Share of the norm from which an inner product matters; it sets how much parallel error costs.
 SCORE_SHARE = 0.2
 NEIGHBOURS = 20
-#: Distinct vectors of a chunk that are reranked exactly for each query.
+#: Distinct vectors of a chunk that are reranked exactly for each query before bounds decide which others can still be among the nearest.
 RERANK = 256
-CHUNK, QUERY_BLOCK = 8192, 256
+#: Vectors scanned at once, queries scanned at once, queries whose bounds are held at once.
+CHUNK, QUERY_BLOCK, BOUND_BLOCK = 8192, 256, 32
+#: Rounding errors of scanned (single) and of multiplied (double precision) scores, as shares of the product of the norms, at most.
+SCAN_ERROR, PRODUCT_ERROR = 1e-5, 1e-12
 #: Queries that are sent to the tasks at once, at most.
 ROUND_QUERIES = 50_000
 
@@ -88,6 +91,11 @@ class Codebooks:
             codes = np.pad(codes, ((0, 0), (0, 1)))
         return codes[:, ::2] | (codes[:, 1::2] << 4)
 
+    def unpacked(self, packed: np.ndarray) -> np.ndarray:
+        """The vectors that packed codes stand for."""
+        codes = np.stack([packed & 15, packed >> 4], axis=2).reshape(len(packed), -1)
+        return np.concatenate([self.words[m][codes[:, m]] for m in range(self.parts)], axis=1)
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """(bytes, 256, queries): the inner product of each query with what each byte of a code stands for."""
         q = self.pad(q)
@@ -137,6 +145,32 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+class Bounds:
+    """Which vectors can have a given inner product with a query, by their scanned scores and the residuals r of their codes.
+
+    q . x = q . (x - r) + q . r, where |q . r| <= |q| |r|. Where q . x >= t > 0, the
+    angle between q and x is bounded as well: with r = p x + o, o orthogonal to x,
+    (1 - p) q . x = q . (x - r) + q . o, and |q . o| <= |o| sqrt(|q|^2 - (t / |x|)^2).
+    """
+
+    def __init__(self, x: np.ndarray, coded: np.ndarray) -> None:
+        r = x - coded
+        self.norm = np.linalg.norm(x, axis=1)
+        self.residual = np.linalg.norm(r, axis=1)
+        self.along = np.einsum("nd,nd->n", r, x / self.norm[:, None]) / self.norm
+        self.across = np.linalg.norm(r - self.along[:, None] * x, axis=1)
+        self.error = SCAN_ERROR * (2 * self.norm + self.residual)
+
+    def reach(self, scan: np.ndarray, q_norm: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """(queries, vectors): whether the inner product can be at least the query's least."""
+        q, t = q_norm[:, None], least[:, None]
+        high = scan + q * self.error
+        out = high + q * self.residual < t
+        t0 = np.maximum(t, 0.0)
+        out |= (t0 > 0) & (self.along < 1) & (high < (1 - self.along) * t0 - self.across * np.sqrt(np.maximum(q * q - (t0 / self.norm) ** 2, 0.0)))
+        return ~(out & np.isfinite(scan))
+
+
 def _search(books: Codebooks, ids: np.ndarray, queries: np.ndarray, k: int, rerank: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64))] * len(ids)
@@ -151,6 +185,19 @@ def _search(books: Codebooks, ids: np.ndarray, queries: np.ndarray, k: int, rera
                 _, first, same = np.unique(x.view(f"V{8 * books.dims}").ravel(), return_index=True, return_inverse=True)
                 by = np.argsort(same, kind="stable")
                 at = np.searchsorted(same[by], np.arange(len(first) + 1))
+                block = x[first]
+                bounds = Bounds(books.pad(block), books.unpacked(codes[first]))
+
+                def offer(n: int, near: np.ndarray, exact: np.ndarray, vec=vec, first=first, by=by, at=at) -> None:
+                    """Merge distinct vectors with their exact scores into query n's nearest."""
+                    pick = best(exact, first[near], k + 1)
+                    places = np.concatenate([by[at[c] : at[c + 1]][: k + 1] for c in near[pick]])
+                    values = np.repeat(exact[pick], np.minimum(k + 1, at[near[pick] + 1] - at[near[pick]]))
+                    own = vec[places] != ids[n]
+                    s, v = np.concatenate([top[n][0], values[own]]), np.concatenate([top[n][1], vec[places][own]])
+                    take = best(s, v, k)
+                    top[n] = (s[take], v[take])
+
                 for b in range(0, len(ids), QUERY_BLOCK):
                     tables = books.tables(queries[b : b + QUERY_BLOCK])
                     scan = np.zeros((len(first), tables.shape[2]), np.float32)
@@ -161,18 +208,27 @@ def _search(books: Codebooks, ids: np.ndarray, queries: np.ndarray, k: int, rera
                     near = np.argpartition(-scan, keep - 1, axis=1)[:, :keep] if keep < len(first) else np.broadcast_to(np.arange(len(first)), (len(scan), len(first)))
                     exact = np.zeros(near.shape)
                     q = queries[b : b + QUERY_BLOCK]
-                    block = x[first]
                     for d in range(books.dims):
                         exact += q[:, d : d + 1] * block[near, d]
                     for n in range(len(near)):
-                        classes = near[n][best(exact[n], first[near[n]], k + 1)]
-                        score = dict(zip(near[n].tolist(), exact[n].tolist(), strict=True))
-                        places = np.concatenate([by[at[c] : at[c + 1]][: k + 1] for c in classes])
-                        values = np.repeat([score[c] for c in classes.tolist()], [min(k + 1, at[c + 1] - at[c]) for c in classes])
-                        own = vec[places] != ids[b + n]
-                        s, v = np.concatenate([top[b + n][0], values[own]]), np.concatenate([top[b + n][1], vec[places][own]])
-                        take = best(s, v, k)
-                        top[b + n] = (s[take], v[take])
+                        offer(b + n, near[n], exact[n])
+                    if keep == len(first):
+                        continue
+                    # All others that can still be among the nearest are scored as well.
+                    norm = np.linalg.norm(q, axis=1)
+                    for c in range(0, len(near), BOUND_BLOCK):
+                        some = slice(c, c + BOUND_BLOCK)
+                        least = np.array([t[0][-1] if len(t[0]) == k else -np.inf for t in top[b : b + QUERY_BLOCK][some]])
+                        reach = bounds.reach(scan[some], norm[some], least)
+                        np.put_along_axis(reach, near[some], False, axis=1)
+                        cols = np.flatnonzero(reach.any(axis=0))
+                        if not len(cols):
+                            continue
+                        score = q[some] @ block[cols].T
+                        rest = reach[:, cols] & ~(score + PRODUCT_ERROR * books.dims * norm[some, None] * bounds.norm[cols] < least[:, None])
+                        for n in np.flatnonzero(rest.any(axis=1)):
+                            more = cols[rest[n]]
+                            offer(b + c + n, more, products(q[c + n], block[more]))
         for b in range(0, len(ids), 1024):
             rows = [(np.full(len(s), ids[b + n]), v, s) for n, (s, v) in enumerate(top[b : b + 1024])]
             yield pa.record_batch([np.concatenate([r[c] for r in rows]) for c in range(3)], names=["query_id", "vec_id", "score"])
@@ -185,7 +241,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
 
     Codebooks are fitted on a bounded sample, every vector is indexed by its four-bit
     codes, each task scans the codes of its vectors for all queries of a round and
-    reranks the best by exact products; tasks' results are merged by query. The
+    reranks the best by exact products, and then every other vector whose code,
+    by its residual, leaves it a chance to be among the k nearest, so the k nearest
+    are exact; tasks' results are merged by query. The
     queries are a stated set; rounds of ROUND_QUERIES keep what is sent bounded.
 
     Vectors that are null, zero or hold a null or non-finite component, vectors of

@@ -405,6 +405,28 @@ def test_neighbours(spark):
     assert ann.nearest_neighbours(few.limit(0), few.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.03, 0.01])
+def test_neighbours_in_a_hot_cluster(spark, spread):
+    """A third of all vectors lie next to one vector, so that their codes don't tell them apart."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(9000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hot = np.arange(0, 9000, 3)
+    near = rng.normal(size=(len(hot), 32))
+    x[hot] = x[0] + spread * near / np.linalg.norm(near, axis=1, keepdims=True)
+    x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").coalesce(1)
+    got = {}
+    for r in ann.nearest_neighbours(df, df.where("vec_id % 90 = 0 or vec_id % 90 = 1")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {k for k in range(9000) if k % 90 < 2}
+    for q, rows in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = np.sort(s)[:-21:-1]
+        assert len({r[1] for r in rows}) == 20 and all(abs(r[2] - s[r[1]]) < 1e-9 and abs(r[2] - b) < 1e-9 for r, b in zip(sorted(rows), best, strict=True))
+
+
 # 10. Mixing
 
 
