@@ -22,13 +22,18 @@ BROADCAST_KEYS = 1_000_000
 #: Tokens of one suffix array; the arrays of several blocks of pages merge by their sorted prefixes.
 ARRAY_TOKENS = 1 << 20
 
-_RAW = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|object|svg|math|canvas|audio|video|select)\b[^>]*+(?<!/)>.*?(?:</\1\s*+>|\Z)")
+_RAW = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*+(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)")
 _TAG = re.compile(r"""(?s)<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*+(?:>|\Z)""")
 _ATTR = re.compile(r"""(?is)([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
 _NAMES = re.compile(r"[^a-z0-9]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Elements whose text isn't shown; they end with the element they stand in, at the latest, and a select before any block but its options.
+_UNSEEN = frozenset("noscript template iframe select".split())
+_OPTIONS = frozenset("option optgroup hr".split())
+#: Elements with a place of their own in a line; what they hold is text.
+_APART = frozenset("object svg canvas audio video".split())
 _DROPPED = frozenset("nav footer aside form menu dialog button fieldset search head frameset datalist".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form status tablist".split())
@@ -96,31 +101,38 @@ def page_blocks(page: str) -> tuple[list[str], list[str], list[str]]:
             if stack[k][0] in names:
                 del stack[k:]
                 return
-            if stack[k][0] in stops:
+            if stack[k][0] in stops or stack[k][0] in _UNSEEN:
                 return
 
+    def unseen() -> int:
+        """Place on the stack of the first element whose text isn't shown, or else its length."""
+        return next((k for k, x in enumerate(stack) if x[0] in _UNSEEN), len(stack))
+
     last = 0
     for m in _TAG.finditer(page):
-        if m.start() > last:
+        if m.start() > last and unseen() == len(stack):
             parts.append(page[last : m.start()])
         last = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         block = tag in _BLOCK
-        if tag == "br":
-            parts.append(" ")
+        if block and not m[1] and tag not in _OPTIONS and unseen() < len(stack) and stack[unseen()][0] == "select":
+            del stack[unseen() :]
+        shown = unseen()
+        if tag == "br" or tag in _APART:
+            if shown == len(stack):
+                parts.append(" ")
             continue
-        if block:
-            flush()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if not block and parts:
-                        flush()
-                    del stack[k:]
-                    break
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
+            if shown == len(stack) and (block or k >= 0 and parts and tag not in _UNSEEN) or 0 <= k < shown:
+                flush()
+            if k >= 0:
+                del stack[k:]
             continue
+        if block and shown == len(stack):
+            flush()
         if tag in _VOID:
             continue
         if block and tag != "p":
@@ -129,13 +141,17 @@ def page_blocks(page: str) -> tuple[list[str], list[str], list[str]]:
                 pop_to(*ends)
         if block:
             pop_to({"p"}, _BLOCK - {"p"})
+        if tag in _UNSEEN:
+            if not m[3].endswith("/"):
+                stack.append((tag, False, 0, False))
+            continue
         in_content = any(x[2] for x in stack)
         dropped, content = _kind(tag, m[3], in_content)
         if block or dropped:
-            if not block and parts:
+            if not block and parts and shown == len(stack):
                 flush()
             stack.append((tag, dropped, content, in_content and tag == "header"))
-    if last < len(page):
+    if last < len(page) and unseen() == len(stack):
         parts.append(page[last:])
     flush()
     best = max((k for k, _ in out), default=0)

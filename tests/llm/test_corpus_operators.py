@@ -350,6 +350,25 @@ def test_suffix_runs():
     assert {tuple(stream[f : f + html_text.DEPTH].tolist()): n for f, n in zip(first, pages, strict=True)} == {k: len(v) for k, v in whole.items()}
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p></article>", "a x=2 b"),
+        ("<article><p>a<object data=x>fall</object>b <canvas>c</canvas> <video>d</video><svg><title>t</title><text>e</text></svg></p></article>", "a fall b c d e"),
+        ("<article><p>a</p><svg><path d=''><p>b</p><object><p>c</p></article>", "a\nb\nc"),
+        ("<article><p>a</p><select><option>x<option>y<p>b</p></article>", "a\nb"),
+        ("<article><p>a</p><video-box><p>b</p></video-box><title-block>c</title-block><p>d</p></article>", "a\nb\nc\nd"),
+        ("<article><p>a <select><option>x</option><optgroup><option>y</option></optgroup></select> b <noscript><p>n</p></noscript>c <template><div>t</div></template>d<iframe>i</iframe></p></article>", "a b c d"),
+        ("<article><p>a</p><div><noscript>n</div><p>b</p></article>", "a\nb"),
+        ("<article><p>a <noscript>n</article>", "a"),
+        ("<article><p>a</p><script>x</p><p>y", "a"),
+        ("<article><p>a</p><STYLE type=x>p > b</style ><textarea>t</textarea><title>u</title><iframe src=x /><p>b", "a\nb"),
+    ],
+)
+def test_html_elements_with_text(page, text):
+    assert "\n".join(html_text.page_blocks(page)[0]) == text
+
+
 # 8. Toxicity
 
 
