@@ -30,19 +30,23 @@ BANDS = (20, 24, 32, 48, 80)
 STEP, BINS = 0.25, 160
 #: Ordinary identifiers: sum of squares of their letter frequencies, and how often the kind of character changes.
 ORDINARY_SQUARES, ORDINARY_CHANGES = 0.065, 0.12
+#: How often the case of a letter changes in ordinary identifiers without digits, a word's capital and what follows it counting once.
+ORDINARY_CASES = 0.2
 
 _KIND = np.zeros(128, np.int64)
 _KIND[48:58], _KIND[65:91], _KIND[97:123] = 1, 2, 3
 
 
 def encoding(raw: np.ndarray) -> tuple[int, np.ndarray] | None:
-    """Size of the narrowest alphabet that holds the token, and its codes; None for tokens without letters and digits."""
+    """Size of the narrowest alphabet that holds the token, and its codes; None for tokens without letters and digits. Of tokens without letters, only the digits have codes."""
     kind = _KIND[raw]
     digits, upper, lower, other = ((kind == k) for k in (1, 2, 3, 0))
-    if not digits.any() or not (upper.any() or lower.any()):
-        return None
+    if not (upper.any() or lower.any()):
+        return (10, raw[digits] - 48) if digits.any() else None
     plain = np.where(upper, raw + 32, raw)
     letters = plain[upper | lower] - 97
+    if not other.any() and not digits.any():
+        return (52, np.where(upper, raw - 65, raw - 71)) if upper.any() and lower.any() else (26, letters)
     if not other.any() and not (upper.any() and lower.any()):
         if letters.max() < 6:
             return 16, np.where(digits, raw - 48, plain - 87)
@@ -62,6 +66,8 @@ def battery(token: str) -> float:
     Chi-squared against the uniform alphabet (noncentral under the hypothesis, so
     that longer tokens separate better), runs of kinds of characters (binomial),
     joined by Fisher's method; serial correlation and far too uneven counts veto.
+    Without digits, runs are those of the letters' cases: what separates words is
+    left out, and a capital starts a word rather than being a run of its own.
     """
     raw = np.frombuffer(token.rstrip("=").encode(), np.uint8).astype(np.int64)
     found = encoding(raw) if len(raw) >= BANDS[0] else None
@@ -79,9 +85,17 @@ def battery(token: str) -> float:
         return 1.0
     shift = n * max(0.6, size * ORDINARY_SQUARES - 1)
     p_chi = _below((chi - (size - 1) - shift) / math.sqrt(2 * (size - 1 + 2 * shift)))
-    kinds = _KIND[raw]
-    changes = int((kinds[1:] != kinds[:-1]).sum())
-    p_runs = _below(-(changes - 0.5 - ORDINARY_CHANGES * (n - 1)) / math.sqrt((n - 1) * ORDINARY_CHANGES * (1 - ORDINARY_CHANGES)))
+    kinds, usual = _KIND[raw], ORDINARY_CHANGES
+    if not (kinds == 1).any() or not (kinds > 1).any():
+        kinds, usual = kinds[kinds > 0], ORDINARY_CASES
+        change = kinds[1:] != kinds[:-1]
+        # From a capital to a small letter, where a small letter or nothing stands before the capital.
+        change[1:] &= ~((kinds[2:] == 3) & (kinds[1:-1] == 2) & (kinds[:-2] == 3))
+        change[:1] &= kinds[0] != 2
+    else:
+        change = kinds[1:] != kinds[:-1]
+    tried = len(change)
+    p_runs = _below(-(int(change.sum()) - 0.5 - usual * tried) / math.sqrt(tried * usual * (1 - usual))) if tried else 1.0
     both = -math.log(max(p_chi, 1e-300)) - math.log(max(p_runs, 1e-300))
     return min(1.0, math.exp(-both) * (1 + both))
 
@@ -97,17 +111,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def outside(a: int, b: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What of a to b lies in no base span (they are in order of their starts), in pieces of BANDS[0] characters at least."""
+    out = []
+    for s, _, e in base:
+        if a < e and s < b:
+            out.append((a, s))
+            a = max(a, e)
+    return [(x, y) for x, y in [*out, (a, b)] if y - x >= BANDS[0]]
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, band, bin of the p-value) of each token that overlaps no base span and that the battery doesn't veto."""
+    """(start, end, band, bin of the p-value) of each token, or part of one outside base spans, that the battery doesn't veto."""
     out = []
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if any(a < e and s < b for s, _, e in base):
-            continue
-        p = battery(m[0])
-        if p < 1:
-            band = sum(b - a >= x for x in BANDS) - 1
-            out.append((a, b, band, min(BINS - 1, int(-math.log10(max(p, 1e-300)) / STEP))))
+        for a, b in outside(*m.span(), base):
+            p = battery(text[a:b])
+            if p < 1:
+                band = sum(b - a >= x for x in BANDS) - 1
+                out.append((a, b, band, min(BINS - 1, int(-math.log10(max(p, 1e-300)) / STEP))))
     return out
 
 

@@ -242,6 +242,21 @@ def test_battery_separates():
     assert min(map(secrets.battery, ["user_profile_settings_page_2", "com.example.deeply.nested_package1", "2024-01-01T00-00-00-session-log"])) > 1e-3
 
 
+def test_secrets_without_digits_or_beside_base_spans(spark):
+    rng = random.Random(6)
+    both, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz"
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    for letters, n, most in ((both, 32, 1e-3), (both + "+/", 40, 1e-3), (small, 160, 1e-2), ("0123456789", 400, 1e-2)):
+        assert sum(secrets.battery(make(letters, n)) < most for _ in range(200)) > 180
+    ordinary = ["getUserProfileSettingsPageName", "SOME_CONSTANT_NAME_OF_A_MODULE", "the-quick-brown-fox-jumps-over-the-dog", "com/example/deeply/nested/Package/Name", "donaudampfschifffahrtsgesellschaft", "2024-01-01/2024-12-31/00-00-00", "AbstractSingletonProxyFactoryBean"]
+    assert min(map(secrets.battery, ordinary)) > 1e-2
+    assert secrets.battery("-" * 30) == 1
+    letters, tail, md5 = make(both, 64), make(both + "0123456789", 48), hashlib.md5(b"x").hexdigest()
+    rows = [(1, f"key {letters} end"), (2, f"at {md5}/{tail} end"), (3, f"at {tail}/{md5} end"), (4, f"at {md5}/short{md5}")]
+    by = {r["doc_id"]: r["spans"] for r in secrets.secret_scan(docs_of(spark, rows)).collect()}
+    assert by == {1: "random:4:68", 2: f"hex:3:35,random:35:{36 + len(tail)}", 3: f"random:3:{4 + len(tail)},hex:{4 + len(tail)}:{36 + len(tail)}", 4: "hex:3:35,hex:41:73"}
+
+
 # 4. Line dedup
 
 
