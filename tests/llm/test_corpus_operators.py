@@ -204,6 +204,18 @@ def test_keep_one(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 3, 9] and kept.columns == docs_of(spark, []).columns
 
 
+def test_keep_one_of_repeated_ids(spark):
+    """One row of each component, whether its ids are repeated or shared with other texts."""
+    rng = random.Random(8)
+    t, other, third = prose(rng, 80), prose(rng, 60), prose(rng, 60)
+    near = t + " end"
+    rows = [(3, t)] * 7 + [(3, near), (5, t), (5, other), (6, other), (6, third), (8, ""), (8, ""), (9, "alone here"), (None, t)]
+    df = docs_of(spark, rows).repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(df).collect()]
+    assert sorted((i, "t" if x in (t, near) else x) for i, x in kept if i is not None) == sorted([(3, "t"), (5, other), (6, third), (8, ""), (9, "alone here")])
+    assert [x for i, x in kept if i is None] == [t] and ngram_join.keep_one(df).dtypes == df.dtypes
+
+
 # 3. Secret scans
 
 
