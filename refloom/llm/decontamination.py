@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from refloom.llm.words import ALNUM, split_words, word_chunks
+from refloom.llm.columns import spare
+from refloom.llm.durable import settle
+from refloom.llm.words import ALNUM, Words, split_words, word_chunks
 
 WINDOW = 13
 #: UTF-8 bytes of benchmark text in one search; a larger benchmark is searched in several rounds.
@@ -18,6 +22,8 @@ ROUND_BYTES = 8 << 20
 #: Positions that one lane of the scan walks over.
 LANE = 512
 SHIFT_BITS = 18
+#: Names of contaminated texts that are broadcast at most (64 bytes each); more are joined by a shuffle.
+BROADCAST_TEXTS = 100_000
 
 
 class Patterns:
@@ -97,61 +103,105 @@ class Patterns:
             yield size, at, rows, t["items"]
 
 
+def hits(patterns: Patterns, w: Words) -> tuple[np.ndarray, dict[int, set[str]]]:
+    """Which words of the documents lie inside occurrences, and the items that occur in a document."""
+    ids = patterns.number(w.hashes)
+    hit = np.zeros(len(ids) + 1, np.int64)
+    found: dict[int, set[str]] = {}
+    for size, at, row, names in patterns.scan(ids, w.ptr):
+        places = np.unique((at[:, None] - np.arange(size)).ravel())
+        true = np.array([w.data[w.starts[p] : w.ends[p]].tobytes() == patterns.words[ids[p]] for p in places], bool)
+        if not true.all():  # a word shares its hash with another one
+            bad = places[~true]
+            ok = ~np.isin(at[:, None] - np.arange(size), bad).any(axis=1)
+            at, row = at[ok], row[ok]
+        np.add.at(hit, at - size + 1, 1)
+        np.add.at(hit, at + 1, -1)
+        pairs = np.unique(np.stack([np.searchsorted(w.ptr, at, side="right") - 1, row]), axis=1)
+        for d, r in pairs.T.tolist():
+            found.setdefault(d, set()).update(names[r])
+    return np.cumsum(hit[:-1]) > 0, found
+
+
+def _counts(patterns: Patterns, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """Words, hit words and items of each text."""
+    n_words, n_hit = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
+    items: list[list[str]] = [[]] * len(column)
+    for i, j, w in word_chunks(column, ALNUM):
+        n_words[i:j] = np.diff(w.ptr)
+        inside, found = hits(patterns, w)
+        up_to = np.concatenate([[0], np.cumsum(inside)])
+        n_hit[i:j] = up_to[w.ptr[1:]] - up_to[w.ptr[:-1]]
+        for d, names in found.items():
+            items[i + d] = sorted(names)
+    return n_words, n_hit, items
+
+
 def _search(patterns: Patterns):
+    """Counts and items of each row, whose other columns stay before them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = len(batch)
-            n_words, n_hit = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-            items: list[list[str]] = [[]] * rows
-            for i, j, w in word_chunks(batch["text"], ALNUM):
-                n_words[i:j] = np.diff(w.ptr)
-                ids = patterns.number(w.hashes)
-                hit = np.zeros(len(ids) + 1, np.int64)
-                found: dict[int, set[str]] = {}
-                for size, at, row, names in patterns.scan(ids, w.ptr):
-                    places = np.unique((at[:, None] - np.arange(size)).ravel())
-                    true = np.array([w.data[w.starts[p] : w.ends[p]].tobytes() == patterns.words[ids[p]] for p in places], bool)
-                    if not true.all():  # a word shares its hash with another one
-                        bad = places[~true]
-                        ok = ~np.isin(at[:, None] - np.arange(size), bad).any(axis=1)
-                        at, row = at[ok], row[ok]
-                    np.add.at(hit, at - size + 1, 1)
-                    np.add.at(hit, at + 1, -1)
-                    pairs = np.unique(np.stack([np.searchsorted(w.ptr, at, side="right") - 1, row]), axis=1)
-                    for d, r in pairs.T.tolist():
-                        found.setdefault(d, set()).update(names[r])
-                inside = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
-                n_hit[i:j] = inside[w.ptr[1:]] - inside[w.ptr[:-1]]
-                for d, names in found.items():
-                    items[i + d] = sorted(names)
-            yield pa.record_batch([batch["__row"], batch["doc_id"].cast(pa.int64()), n_words, n_hit, pa.array(items, pa.list_(pa.string()))], names=["__row", "doc_id", "n_words", "n_hit", "items"])
+            kept = [c for c in batch.schema.names if c != "text"]
+            n_words, n_hit, items = _counts(patterns, batch["text"])
+            yield pa.record_batch([*(batch[c] for c in kept), n_words, n_hit, pa.array(items, pa.list_(pa.string()))], names=[*kept, "n_words", "n_hit", "items"])
+
+    return run
+
+
+def _clean(patterns: Patterns, text: str):
+    """The rows whose text isn't contaminated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_words, n_hit, _ = _counts(patterns, batch[text])
+            yield batch.filter(pa.array((n_hit == 0) | (20 * n_hit < n_words)))
 
     return run
 
 
-SCHEMA = "__row long, doc_id long, n_words long, n_hit long, items array<string>"
+FOUND = "n_words long, n_hit long, items array<string>"
 
 
 def _spans(patterns: Patterns):
-    """As _search, but hit words as merged intervals, to be united over rounds."""
+    """(key, a, b, items): hit words of each text as intervals, the items with the first one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], [], [], []]
-            keys = batch["__row"].to_pylist()
+            out: list[tuple] = []
+            keys = batch["key"].to_pylist()
             for i, _, w in word_chunks(batch["text"], ALNUM):
-                ids = patterns.number(w.hashes)
-                for size, at, row, names in patterns.scan(ids, w.ptr):
-                    doc = np.searchsorted(w.ptr, at, side="right") - 1
-                    for d, p, r in zip(doc.tolist(), at.tolist(), row.tolist(), strict=True):
-                        if all(w.data[w.starts[q] : w.ends[q]].tobytes() == patterns.words[ids[q]] for q in range(p - size + 1, p + 1)):
-                            for x, y in zip(out, (keys[i + d], int(p - size + 1 - w.ptr[d]), int(p + 1 - w.ptr[d]), names[r], None), strict=True):
-                                x.append(y)
-            yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.string()))], names=["__row", "a", "b", "items"])
+                inside, found = hits(patterns, w)
+                for d, names in found.items():
+                    edge = np.diff(np.concatenate([[0], inside[w.ptr[d] : w.ptr[d + 1]].astype(np.int8), [0]]))
+                    for k, (x, y) in enumerate(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)):
+                        out.append((keys[i + d], x, y, [] if k else sorted(names)))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+            yield pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["key", "a", "b", "items"])
 
     return run
 
 
+def _in_rounds(texts: DataFrame, rounds: list[Patterns]) -> DataFrame:
+    """key, n_hit and items of each distinct text (key, text) that is hit: the union of the rounds' intervals."""
+    parts = [texts.mapInArrow(_spans(p), "key string, a long, b long, items array<string>").distinct() for p in rounds]
+    spans = settle(reduce(DataFrame.union, parts))
+    before = W.partitionBy("key").orderBy("a", "b").rowsBetween(W.unboundedPreceding, -1)
+    new = F.greatest(F.col("b") - F.greatest(F.col("a"), F.coalesce(F.max("b").over(before), F.lit(0))), F.lit(0))
+    n_hit = spans.select("key", new.alias("new")).groupBy("key").agg(F.sum("new").alias("n_hit"))
+    named = spans.select("key", F.explode("items").alias("item")).groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return n_hit.join(named, "key")
+
+
+def _rounds(benchmark: DataFrame, item_col: str, item_text: str, round_bytes: int) -> list[Patterns]:
+    """The benchmark's windows, dealt by item into rounds of about round_bytes; its bytes are summed first."""
+    items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rounds = -(-size // round_bytes) or 1
+    take = lambda k: [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).orderBy("item_id", "text").toLocalIterator()]
+    return [Patterns(take(k)) for k in range(rounds)]
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", round_bytes: int = ROUND_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs.
 
@@ -160,34 +210,42 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     counts 0, such an item no window. Items of one text each count; an item's null
     id takes no part. The benchmark's bytes are summed first: up to round_bytes its
     tables go to every task, and no row is shuffled; beyond that its items are dealt
-    into rounds of about round_bytes, and hit words are united by row. An empty
-    benchmark hits nothing. Repeated rows and null ids give a row each; other
-    columns are not read.
+    into rounds of about round_bytes, and hit words are united by text, named by its
+    SHA-256. An empty benchmark hits nothing. Repeated rows and null ids give a row
+    each; other columns are not read.
     """
-    items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text).cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rounds = -(-size // round_bytes) or 1
+    rounds = _rounds(benchmark, item_col, item_text, round_bytes)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    take = lambda k: [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).orderBy("item_id", "text").toLocalIterator()]
-    if rounds == 1:
-        rows = src.withColumn("__row", F.lit(0).cast("long")).mapInArrow(_search(Patterns(take(0))), SCHEMA)
+    if len(rounds) == 1:
+        rows = src.mapInArrow(_search(rounds[0]), "doc_id long, " + FOUND)
     else:
-        # Rows are named by what they hold, so that a task run again names them alike; equal rows have equal hits.
-        src = src.withColumn("__row", F.xxhash64("doc_id", "text"))
-        hits = None
-        for k in range(rounds):
-            part = src.mapInArrow(_spans(Patterns(take(k))), "__row long, a long, b long, items array<string>").distinct()
-            hits = part if hits is None else hits.union(part)
-        places = hits.select("__row", F.explode(F.sequence("a", F.col("b") - 1)).alias("place")).distinct().groupBy("__row").agg(F.count("*").alias("n_hit"))
-        named = hits.select("__row", F.explode("items").alias("item")).groupBy("__row").agg(F.array_sort(F.collect_set("item")).alias("items"))
-        counted = src.mapInArrow(_search(Patterns([])), SCHEMA).drop("n_hit", "items")
-        rows = counted.join(places, "__row", "left").join(named, "__row", "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        keyed = src.select("doc_id", F.sha2("text", 256).alias("key"), "text")
+        counted = keyed.mapInArrow(_search(Patterns([])), "doc_id long, key string, " + FOUND).drop("n_hit", "items")
+        found = _in_rounds(keyed.select("key", "text"), rounds)
+        rows = counted.join(found, "key", "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     return rows.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
     )
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", round_bytes: int = ROUND_BYTES) -> DataFrame:
+    """The rows of docs whose own text isn't contaminated, all columns as they were.
+
+    Each row is judged by its text alone, whatever its id and however often that
+    occurs; null and empty texts stay. An empty benchmark keeps all.
+    """
+    rounds = _rounds(benchmark, item_col, item_text, round_bytes)
+    if len(rounds) == 1:
+        return docs.mapInArrow(_clean(rounds[0], text_col), docs.schema)
+    (key,) = spare(docs, "key")
+    texts = docs.select(F.sha2(F.col(text_col), 256).alias("key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    words = texts.mapInArrow(_search(Patterns([])), "key string, " + FOUND).groupBy("key").agg(F.max("n_words").alias("n_words"))
+    bad = settle(_in_rounds(texts, rounds).join(words, "key").where(F.col("n_hit") * 20 >= F.col("n_words")).select(F.col("key").alias(key)))
+    kept = docs.withColumn(key, F.sha2(F.col(text_col), 256)).join(F.broadcast(bad) if bad.count() <= BROADCAST_TEXTS else bad, key, "left_anti")
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def items_digest(items: list[int]) -> str:
     """The digest of a set of item ids, as in items_sha256."""
     return hashlib.sha256(",".join(sorted(str(x) for x in set(items))).encode()).hexdigest()
