@@ -87,8 +87,8 @@ ORACLE_SQL = {
         total AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
         often AS (SELECT k.source, bare FROM k JOIN total ON k.source IS NOT DISTINCT FROM total.source WHERE bare <> '' GROUP BY k.source, bare, pages HAVING count(DISTINCT r) >= 3 AND count(DISTINCT r) > pages * 0.1),
         m AS (SELECT k.*, often.bare IS NOT NULL AS frame FROM k LEFT JOIN often ON k.source IS NOT DISTINCT FROM often.source AND k.bare = often.bare),
-        g AS (SELECT r, count(*) AS n, count(*) FILTER (frame) AS f, bool_or(bare <> '' AND NOT frame) AS own, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT frame) AS kept FROM m GROUP BY r)
-        SELECT doc_id, source, CASE WHEN own AND f > 0 THEN kept ELSE text END AS text, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(CASE WHEN own THEN f ELSE 0 END AS BIGINT) AS n_dropped FROM d LEFT JOIN g USING (r)""",
+        g AS (SELECT r, count(*) AS n, count(*) FILTER (frame) AS f, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT frame) AS kept FROM m GROUP BY r)
+        SELECT doc_id, source, CASE WHEN f > 0 THEN coalesce(kept, '') ELSE text END AS text, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(f, 0) AS BIGINT) AS n_dropped FROM d LEFT JOIN g USING (r)""",
     "op6_decontamination": f"""
         WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents),
         b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
