@@ -138,14 +138,14 @@ def brute_components(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and rows[i][0] is not None and rows[j][0] is not None:
+            if sets[i] and sets[j]:
                 both = len(sets[i] & sets[j])
                 if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
                     parent[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
         least.setdefault(find(i), []).append(d)
-    return [(d, len(sets[i]), min(x for x in least[find(i)]) if d is not None else None) for i, (d, _) in enumerate(rows)]
+    return [(d, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None)) for i, (d, _) in enumerate(rows)]
 
 
 def near_copies(rng, base, n, edits):
@@ -198,6 +198,51 @@ def test_join_strays(spark, monkeypatch):
     assert sorted(links) == [(0, 1), (2, 3)] and strays.tolist() == [2, 3]
 
 
+def test_join_of_rows_without_ids(spark):
+    """Two texts that are linked through a row without an id only; and such rows among themselves."""
+    rng = random.Random(12)
+    chain, other = prose(rng, 150).split(), prose(rng, 40)
+    rows = [(5, " ".join(chain[:100])), (None, " ".join(chain[8:108])), (9, " ".join(chain[16:116])), (None, other), (None, other + " end"), (None, None), (7, None), (8, prose(rng, 30))]
+    got = key(map(tuple, ngram_join.ngram_jaccard_join(docs_of(spark, rows)).collect()))
+    assert got == key(brute_components(rows)) and (9, 96, 5) in got and (None, 96, 5) in got
+    assert [r["doc_id"] for r in ngram_join.keep_one(docs_of(spark, rows), keep_unnamed=False).orderBy("doc_id").collect()] == [None, None, 5, 7, 8]
+    kept = [r["text"] for r in ngram_join.keep_one(docs_of(spark, rows), keep_unnamed=False).where("doc_id is null").collect()]
+    assert None in kept and ({other, other + " end"} & set(kept)) and ngram_join.keep_one(docs_of(spark, []), keep_unnamed=False).count() == 0
+
+
+def test_rings():
+    """Rings of linked sets differ by one at most, in whole numbers."""
+    rng = random.Random(13)
+    sets = [rng.sample(range(40), rng.randrange(4, 30)) for _ in range(100)]
+    sets = [np.sort(np.array(x, np.uint64)) for own in sets for x in (own, own[1:], [*own[: len(own) // 8 * 7], *range(50, 50 + len(own) // 8)])]
+    ring, linked = ngram_join.rings(sets), 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                linked += 1
+                assert abs(ring[i] - ring[j]) <= 1
+    assert ring[0] == 0 and linked > 0
+
+
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_join_of_rings(spark, monkeypatch, broadcast):
+    """Large cells of several groups around a pivot, which only some members connect."""
+    monkeypatch.setattr(ngram_join, "CELL_ROWS", 6)
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", broadcast)
+    rng = random.Random(14)
+    words = prose(rng, 300).split()
+    texts = [" ".join(words[k : k + 60]) for k in range(0, 50, 2)]
+    for far in (8, 14, 20, 30):  # groups at growing distances from one text
+        base = words[:60]
+        for k in range(far):
+            base[2 * k + 1] = f"f{far}x{k}" if k % 2 else base[2 * k + 1]
+        texts += near_copies(rng, " ".join(base), 14, 3)
+    rows = list(enumerate(texts, 1))
+    rng.shuffle(rows)
+    assert key(map(tuple, ngram_join.ngram_jaccard_join(docs_of(spark, rows)).collect())) == key(brute_components(rows))
+
+
 def test_keep_one(spark):
     t = prose(random.Random(3), 50)
     kept = ngram_join.keep_one(docs_of(spark, [(5, t), (3, t), (9, "other words"), (None, t)]))
@@ -275,16 +320,28 @@ def test_secrets_without_digits_or_beside_base_spans(spark):
 def test_lines(spark):
     rows = [(k, f"Menu \nown line {k}\n\nfoot") for k in range(8)] + [(8, "Menu\nfoot"), (9, None), (10, ""), (None, "Menu\r\nx"), (11, "own line 1")]
     df = docs_of(spark, rows).withColumn("n_lines", F.lit("clash")).withColumn("__key", F.lit(0))
-    out = {r["doc_id"]: r for r in line_dedup.line_dedup(df).collect()}
+    out = {r["doc_id"]: r for r in line_dedup.line_dedup(df, whole_copies=True).collect()}
     assert out[3]["text"] == "own line 3\n" and (out[3]["n_lines"], out[3]["n_dropped"]) == (4, 2)
     assert out[8]["text"] == "Menu\nfoot" and out[8]["n_dropped"] == 0  # a copy, not a frame
     assert out[9]["text"] is None and out[9]["n_lines"] == 0 and out[10]["text"] == "" and out[10]["n_lines"] == 1
     assert out[None]["text"] == "x" and out[11]["text"] == "own line 1"
-    none = line_dedup.line_dedup(docs_of(spark, rows, source=None)).collect()
+    plain = {r["doc_id"]: r for r in line_dedup.line_dedup(df).collect()}
+    assert (plain[8]["text"], plain[8]["n_lines"], plain[8]["n_dropped"]) == ("", 2, 2)
+    assert {i: (r["text"], r["n_dropped"]) for i, r in plain.items() if i != 8} == {i: (r["text"], r["n_dropped"]) for i, r in out.items() if i != 8}
+    none = line_dedup.line_dedup(docs_of(spark, rows, source=None), whole_copies=True).collect()
     assert {r["doc_id"]: r["n_dropped"] for r in none} == {r["doc_id"]: r["n_dropped"] for r in out.values()}
     assert line_dedup.line_dedup(docs_of(spark, [])).count() == 0
 
 
+def test_lines_beside_clashing_columns(spark):
+    """Columns of any name keep their values."""
+    names = ["site", "none", "frame", "kept", "key", "keys", "__site", "__frame", "__none", "__kept", "__whole", "pages", "K"]
+    df = spark.createDataFrame([(k, f"menu\nown {k}", "s", *["v"] * len(names)) for k in range(5)], "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names))
+    out = line_dedup.line_dedup(df)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped"]
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(k, f"own {k}", "s", *["v"] * len(names), 2, 1) for k in range(5)]
+
+
 # 5. URL filters
 
 
@@ -343,6 +400,13 @@ def test_decontamination(spark):
     assert key(map(tuple, decontamination.decontaminate(df, bench, round_bytes=2000).collect())) == want  # in rounds
     assert decontamination.decontaminate(docs_of(spark, []), bench).count() == 0
     assert decontamination.decontaminate(df, bench.limit(0)).where("n_hit > 0 or contaminated").count() == 0
+    # A stage that drops rows by their own text, also where another row of the id is contaminated.
+    clean = [(i, t) for i, t in [*rows, (rows[-1][0], "clean text")] if not brute_hits(t, items)[4]]
+    both = docs_of(spark, [*rows, (rows[-1][0], "clean text")]).withColumn("key", F.lit("clash"))
+    for size in (decontamination.ROUND_BYTES, 2000):
+        kept = decontamination.drop_contaminated(both, bench, round_bytes=size)
+        assert kept.dtypes == both.dtypes and key([(r["doc_id"], r["text"]) for r in kept.collect()]) == key(clean)
+    assert len(clean) < len(rows) and decontamination.drop_contaminated(both.limit(0), bench).count() == 0
 
 
 # 7. HTML extraction
