@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.llm.decontamination import decontaminate
+from refloom.llm.decontamination import drop_contaminated
 from refloom.llm.durable import settle
 from refloom.llm.line_dedup import line_dedup
 from refloom.llm.mixing import mix_sources
-from refloom.llm.ngram_join import BROADCAST_IDS, keep_one
+from refloom.llm.ngram_join import keep_one
 from refloom.llm.toxicity import drop_toxic
 
 
@@ -19,21 +19,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without their source's boilerplate lines; n_chars follows the text."""
-    out = line_dedup(docs)
+    """All documents, without their source's boilerplate lines; n_chars follows the text.
+
+    Documents of such lines only are copies of each other: they stay whole here, and
+    the next stage keeps one of each group of them.
+    """
+    out = line_dedup(docs, whole_copies=True)
     return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near copies."""
-    return keep_one(docs)
+    return keep_one(docs, keep_unnamed=False)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    ids = settle(found.where("contaminated and doc_id is not null").select("doc_id").distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+    """Documents whose own text isn't contaminated."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
