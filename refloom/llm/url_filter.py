@@ -11,15 +11,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from refloom.llm.durable import settle, small_batches
+from refloom.llm.skew import look_up
+
 #: The rules, by what they fit.
 RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
 
 #: Labelled URLs that the trees are trained on, at most: those of the least hash.
 TRAIN_ROWS = 20_000
+#: Rows that are scored at once.
+SCORE_ROWS = 2048
+SCHEMA = "page_id long, host string, path string, rule string, score double"
 TREES, DEPTH, RATE, BINS, LEAST_LEAF = 40, 3, 0.3, 32, 20
-#: Host suffixes whose labels are counted, at most: the most frequent ones of the training rows.
-SUFFIXES = 1000
-FEATURES = ("length", "host length", "host labels", "path depth", "last segment length", "digit ratio", "digits", "entropy", "host entropy", "parameters", "fragment", "hyphens", "https", "suffix rate", "suffix rows", "host rate", "language rate")
+#: What labels are counted by, over all labelled URLs, and keys that are broadcast at most; tables of more are joined by a shuffle.
+KINDS = ("suffix", "domain", "segment")
+BROADCAST_KEYS = 200_000
+FEATURES = ("length", "host length", "host labels", "path depth", "last segment length", "digit ratio", "digits", "entropy", "host entropy", "parameters", "fragment", "hyphens", "https", "suffix rate", "suffix rows", "domain rate", "domain rows", "segment rate", "segment rows")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -46,36 +53,41 @@ def _entropy(text: str) -> float:
     return -sum(k / n * math.log2(k / n) for k in Counter(text).values()) if n else 0.0
 
 
-def _parts(url: str, host: str, path: str) -> tuple[str, str, str]:
-    """Public suffix, registered domain and first path segment, for label rates."""
-    labels = host.split(".")
-    return labels[-1], ".".join(labels[-2:]), path[1:].partition("/")[0][:12]
-
-
-def features(urls: list[str], hosts: list[str], paths: list[str], rates: list[dict[str, tuple[float, float]]]) -> np.ndarray:
-    """A row of FEATURES for each URL; rates are (rate, rows) by suffix, domain and language segment."""
+def features(urls: list[str], hosts: list[str], paths: list[str], rows: np.ndarray, blocked: np.ndarray) -> np.ndarray:
+    """A row of FEATURES for each URL; rows and blocked count the labelled URLs of its KINDS, without itself."""
     out = np.zeros((len(urls), len(FEATURES)))
     for k, (url, host, path) in enumerate(zip(urls, hosts, paths, strict=True)):
-        digits = sum(c.isdigit() for c in url)
+        digits = sum(map(url.count, "0123456789"))
         query = url.partition("?")[2].partition("#")[0]
-        by = [r.get(p, (0.5, 0.0)) for r, p in zip(rates, _parts(url, host, path), strict=True)]
-        out[k] = (
+        out[k, :13] = (
             len(url), len(host), host.count(".") + bool(host), sum(map(bool, path.split("/"))), len(path.rpartition("/")[2]), digits / max(1, len(url)), digits, _entropy(url), _entropy(host),
-            sum(map(bool, query.split("&"))), "#" in url, url.count("-"), url.startswith("https"), by[0][0], math.log1p(by[0][1]), by[1][0], by[2][0],
+            sum(map(bool, query.split("&"))), "#" in url, url.count("-"), url.startswith("https"),
         )
+    out[:, 13::2] = (blocked + 1) / (rows + 2)
+    out[:, 14::2] = np.log1p(rows)
     return out
 
 
-def label_rates(parts: list[tuple[str, str, str]], y: np.ndarray) -> list[dict[str, tuple[float, float]]]:
-    """Smoothed share of blocked URLs, and rows, of each frequent suffix, domain and first segment."""
-    out = []
-    for col in range(3):
-        rows, hits = Counter(), Counter()
-        for p, v in zip(parts, y, strict=True):
-            rows[p[col]] += 1
-            hits[p[col]] += int(v)
-        out.append({k: ((hits[k] + 1) / (n + 2), float(n)) for k, n in sorted(rows.items(), key=lambda x: (-x[1], x[0]))[:SUFFIXES]})
-    return out
+def _kinds(host: Column, path: Column) -> dict[str, Column]:
+    """Last label and last two labels of the host, and first segment of the path."""
+    labels = F.split(host, r"\.")
+    return {"suffix": F.element_at(labels, -1), "domain": F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(host), "segment": F.regexp_extract(path, "^.([^/]*)", 1)}
+
+
+def _with_counts(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """rows with how many labelled URLs share each kind, and how many of them are blocked: n_ and b_ columns."""
+    for kind in KINDS:
+        table = settle(labelled.groupBy(kind).agg(F.count("*").alias(f"n_{kind}"), F.sum("y").alias(f"b_{kind}")))
+        if table.count() <= BROADCAST_KEYS:
+            rows = rows.join(F.broadcast(table), kind, "left")
+        else:
+            held = rows.groupBy(kind).agg(F.count("*").alias("copies"))
+            rows = look_up(rows, table.join(held, kind), kind, rows.count())
+    return rows
+
+
+def _counts(rows: pa.RecordBatch | pa.Table, letter: str) -> np.ndarray:
+    return np.array([rows[f"{letter}_{kind}"].fill_null(0).to_pylist() for kind in KINDS], float).reshape(len(KINDS), -1).T
 
 
 class Trees:
@@ -131,39 +143,65 @@ class Trees:
         return 1 / (1 + np.exp(-total))
 
 
-def _score(model: Trees | None, rates: list[dict]):
+def _score(model: Trees | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls = [u or "" for u in batch["url"].to_pylist()]
-            x = features(urls, batch["host"].to_pylist(), batch["path"].to_pylist(), rates)
-            p = model.score(x) if model else np.zeros(len(urls))
-            yield pa.record_batch([batch["page_id"].cast(pa.int64()), batch["host"], batch["path"], batch["rule"], pa.array(p)], names=["page_id", "host", "path", "rule", "score"])
+            for i in range(0, len(batch), SCORE_ROWS):
+                part = batch.slice(i, SCORE_ROWS)
+                urls = [u or "" for u in part["url"].to_pylist()]
+                x = features(urls, part["host"].to_pylist(), part["path"].to_pylist(), _counts(part, "n"), _counts(part, "b"))
+                p = model.score(x) if model else np.zeros(len(urls))
+                yield pa.record_batch([part["page_id"].cast(pa.int64()), part["host"], part["path"], part["rule"], pa.array(p)], names=["page_id", "host", "path", "rule", "score"])
 
     return run
 
 
+def fit(labelled: DataFrame, most: int = TRAIN_ROWS) -> Trees | None:
+    """Trees learnt from at most most of the labelled URLs, each beside the counts of all others; None without both labels."""
+    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(most)
+    known = _with_counts(sample, labelled).orderBy("url").toArrow()
+    y = known["y"].to_numpy().astype(float)
+    if not 0 < y.sum() < len(y):
+        return None
+    rows, blocked = _counts(known, "n") - 1, _counts(known, "b") - y[:, None]
+    return Trees(features(known["url"].to_pylist(), known["host"].to_pylist(), known["path"].to_pylist(), rows, blocked), y)
+
+
+def _judged(pages: DataFrame, id_col: str, url_col: str, rules: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Each page's url, host, path, rule and KINDS; and the distinct URLs that a rule decides, with y 1 for block."""
+    host, path = host_and_path(F.col("url"))
+    src = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
+    src = src.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
+    src = src.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumns(_kinds(F.col("host"), F.col("path")))
+    y = F.col("rule").isin([r for r, v in rules.items() if v == "block"]).cast("int")
+    return src, settle(src.where("rule is not null").select("url", "host", "path", *KINDS, y.alias("y")).distinct())
+
+
+def held_out_scores(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: dict[str, str] | None = None) -> DataFrame:
+    """url, y and score of the labelled URLs whose crc32 mod 4 is 2, by trees and counts of the other labelled ones."""
+    _, labelled = _judged(pages, id_col, url_col, RULES if rules is None else rules)
+    out = F.crc32(F.col("url").cast("binary")) % 4 == 2
+    rest = settle(labelled.where(~out))
+    rows = _with_counts(labelled.where(out).select("*", F.lit(0).cast("long").alias("page_id"), F.lit("").alias("rule")), rest)
+    scored = rows.withColumn("rule", F.col("url")).mapInArrow(_score(fit(rest)), SCHEMA)
+    return scored.select(F.col("rule").alias("url"), "score").join(labelled.select("url", "y"), "url")
+
+
 def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: dict[str, str] | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and score (the trees' probability of block) for every row of pages.
 
-    The URLs that a rule decides are the labelled ones: distinct ones of the least
-    hash, TRAIN_ROWS at most, train the trees, so the model is of bounded size and
-    reruns agree. A rule's verdict stands; the trees judge the rest, at 0.5. A null
-    url, and one without ://, has an empty host and path and no rule, and is judged
-    by its features. Without labelled URLs of both kinds the trees allow all (score
-    0). Repeated rows and null ids give a row each; other columns are not read.
+    The URLs that a rule decides are the labelled ones. Labels are counted over all
+    of them, by host suffix, domain and first path segment; the trees learn from
+    TRAIN_ROWS at most, those of the least hash, each beside the counts of the others,
+    so the model is of bounded size and reruns agree. A rule's verdict stands; the
+    trees judge the rest, at 0.5. A null url, and one without ://, has an empty host
+    and path and no rule, and is judged by its features. Without labelled URLs of both
+    kinds the trees allow all (score 0). Repeated rows and null ids give a row each;
+    other columns are not read.
     """
     rules = RULES if rules is None else rules
-    host, path = host_and_path(F.col("url"))
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    src = src.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
-    src = src.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    known = src.where("rule is not null").select("url", "host", "path", "rule").distinct().orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS).toArrow().to_pydict()
-    y = np.array([rules[r] == "block" for r in known["rule"]], float)
-    model, rates = None, [{}, {}, {}]
-    if len(y) and 0 < y.sum() < len(y):
-        rates = label_rates([_parts(*p) for p in zip(known["url"], known["host"], known["path"], strict=True)], y)
-        model = Trees(features(known["url"], known["host"], known["path"], rates), y)
-    rows = src.mapInArrow(_score(model, rates), "page_id long, host string, path string, rule string, score double")
+    src, labelled = _judged(pages, id_col, url_col, rules)
+    rows = _with_counts(src, labelled).mapInArrow(_score(fit(labelled)), SCHEMA)
     decided = F.lit(None).cast("string")
     for rule, verdict in rules.items():
         decided = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(decided)
