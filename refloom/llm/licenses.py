@@ -2,12 +2,12 @@
 
 Templates are word sequences in which some runs of words are mandatory. The index
 has, for each template, the postings (word, position) of its mandatory words of the
-highest inverse document frequency over the templates. A template all of whose
-mandatory words occur in a file is looked up by that one of these words that has
-the fewest places in the file; a place gives an offset (file position less template
-position), and a template counts where its mandatory phrases stand at that very
-offset. A counting template has all its mandatory words at one offset, so none is
-missed, however many words of the index a file has.
+highest inverse document frequency over the templates. A file's places of such a
+word, less the word's position, are the offsets at which the template may stand; the
+offsets of all postings of a template are intersected, fewest places first, and a
+template counts where its mandatory phrases stand at an offset that is left. A
+counting template has all its mandatory words at one offset, so none is missed,
+however many words of the index a file has.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refloom.llm.durable import small_batches
 from refloom.llm.words import ALNUM, word_chunks, word_hash
 
 #: Phrases whose every place counts, and their labels.
@@ -97,21 +98,31 @@ class Index:
             ok &= ids[at + k] == w
         return at[ok]
 
+    def meet(self, places: list[np.ndarray], phrase: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Offsets at which every word of phrase at a position of at stands, by places of each word."""
+        left = None
+        for k in sorted(at.tolist(), key=lambda k: len(places[phrase[k]])):
+            own = places[phrase[k]] - k
+            if left is None:
+                left = own
+            else:
+                near = np.minimum(np.searchsorted(own, left), len(own) - 1)
+                left = left[own[near] == left] if len(own) else own
+            if not len(left):
+                break
+        return left
+
     def scan(self, ids: np.ndarray) -> tuple[list[tuple[str, np.ndarray]], dict[str, float]]:
         """Places of each base label, and the method's labels with their best share of template words, in one file."""
         known = np.flatnonzero(ids >= 0)
-        base = []
-        for phrase, label in self.base:
-            k = int(np.argmax(self.idf[phrase]))
-            found = self.stands(ids, known[ids[known] == phrase[k]] - k, phrase)
-            if len(found):
-                base.append((label, found))
+        by = known[np.argsort(ids[known], kind="stable")]
         count = np.bincount(ids[known], minlength=len(self.hashes))
+        places = np.split(by, np.cumsum(count)[:-1])
+        base = [(label, at) for phrase, label in self.base if len(at := self.meet(places, phrase, np.arange(len(phrase))))]
         labels: dict[str, float] = {}
         for k in np.flatnonzero(~(self.needs & (count == 0)).any(axis=1)):
             template = self.templates[k]
-            first = self.postings[k][np.argmin(count[template[self.postings[k]]])]
-            offset = known[ids[known] == template[first]] - first
+            offset = self.meet(places, template, self.postings[k])
             for a, b in self.keys[k]:
                 offset = self.stands(ids, offset + a, template[a:b]) - a
             if len(offset):
@@ -162,4 +173,4 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the best share of a verified template's words found at their places. Repeated
     rows and null ids give a row each; other columns are not read.
     """
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_scan, SCHEMA)
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(_scan, SCHEMA)
