@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refloom.llm.durable import settle
+from refloom.llm.durable import settle, small_batches
 
 #: The base patterns, with the least length of what counts.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -28,6 +28,8 @@ LEVEL = 0.01
 BANDS = (20, 24, 32, 48, 80)
 #: Steps of log10(p) in which p-values are counted, and how many.
 STEP, BINS = 0.25, 160
+#: Level below which a token isn't taken for random: about that share of random strings is lost.
+NOT_RANDOM = 1e-3
 #: Ordinary identifiers: sum of squares of their letter frequencies, and how often the kind of character changes.
 ORDINARY_SQUARES, ORDINARY_CHANGES = 0.065, 0.12
 #: How often the case of a letter changes in ordinary identifiers without digits, a word's capital and what follows it counting once.
@@ -60,29 +62,57 @@ def _below(z: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
-def battery(token: str) -> float:
-    """p-value of the token under 'an ordinary identifier'; small for random strings, 1 where a test speaks against randomness.
+def uniform(size: int, codes: np.ndarray) -> tuple[float, float, float]:
+    """p-values of chi-squared, runs and serial correlation under "independent and uniform over an alphabet of size letters".
 
-    Chi-squared against the uniform alphabet (noncentral under the hypothesis, so
-    that longer tokens separate better), runs of kinds of characters (binomial),
-    joined by Fisher's method; serial correlation and far too uneven counts veto.
-    Without digits, runs are those of the letters' cases: what separates words is
-    left out, and a capital starts a word rather than being a run of its own.
+    Chi-squared is too large; its law has the multinomial's mean and variance, in
+    Wilson and Hilferty's form. Runs are of codes in the lower and the upper half of
+    the alphabet, where each change comes with probability 1/2, too many or too few.
+    Correlation is that of neighbours, too far from its mean of -1 / n.
+    """
+    n = len(codes)
+    counts = np.bincount(codes, minlength=size)[:size]
+    chi = float(((counts - n / size) ** 2).sum() / (n / size))
+    scale = (n - 1) / n
+    free = (size - 1) / scale
+    spread = 2 / (9 * free)
+    p_chi = _below(-((max(chi, 1e-9) / (scale * free)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    half = codes >= size // 2
+    changes = int((half[1:] != half[:-1]).sum())
+    p_runs = min(1.0, 2 * _below(-(abs(changes - (n - 1) / 2) - 0.5 * (changes * 2 != n - 1)) / math.sqrt((n - 1) / 4)))
+    c = codes - codes.mean()
+    total = float((c * c).sum())
+    p_corr = 2 * _below(-abs(float((c[1:] * c[:-1]).sum()) / total + 1 / n) * math.sqrt(n)) if total else 0.0
+    return p_chi, p_runs, p_corr
+
+
+def fisher(*p: float) -> float:
+    """Fisher's combined p-value of independent tests."""
+    x = -sum(math.log(max(v, 1e-300)) for v in p)
+    return min(1.0, math.exp(-x) * sum(x**k / math.factorial(k) for k in range(len(p))))
+
+
+def battery(token: str) -> float:
+    """p-value of the token under 'an ordinary identifier'; small for random strings, 1 for what isn't random.
+
+    Chi-squared, runs and serial correlation give a p-value each under a uniform
+    alphabet; a token whose combined p-value is below NOT_RANDOM isn't random. Others
+    are tested against ordinary identifiers: chi-squared, which is noncentral for
+    them, so that longer tokens separate better, and runs of kinds of characters
+    (binomial), joined by Fisher's method. Without digits, runs are those of the
+    letters' cases: what separates words is left out, and a capital starts a word
+    rather than being a run of its own.
     """
     raw = np.frombuffer(token.rstrip("=").encode(), np.uint8).astype(np.int64)
     found = encoding(raw) if len(raw) >= BANDS[0] else None
-    if found is None:
+    if found is None or len(found[1]) < 2:
         return 1.0
     size, codes = found
     n = len(codes)
+    if fisher(*uniform(size, codes)) < NOT_RANDOM:
+        return 1.0
     counts = np.bincount(codes, minlength=size)[:size]
     chi = float(((counts - n / size) ** 2).sum() / (n / size))
-    if (chi - (size - 1)) / math.sqrt(2 * (size - 1)) > 5:
-        return 1.0
-    c = codes - codes.mean()
-    spread = float((c * c).sum())
-    if spread == 0 or abs(float((c[1:] * c[:-1]).sum()) / spread) * math.sqrt(n) > 4:
-        return 1.0
     shift = n * max(0.6, size * ORDINARY_SQUARES - 1)
     p_chi = _below((chi - (size - 1) - shift) / math.sqrt(2 * (size - 1 + 2 * shift)))
     kinds, usual = _KIND[raw], ORDINARY_CHANGES
@@ -96,8 +126,7 @@ def battery(token: str) -> float:
         change = kinds[1:] != kinds[:-1]
     tried = len(change)
     p_runs = _below(-(int(change.sum()) - 0.5 - usual * tried) / math.sqrt(tried * usual * (1 - usual))) if tried else 1.0
-    both = -math.log(max(p_chi, 1e-300)) - math.log(max(p_runs, 1e-300))
-    return min(1.0, math.exp(-both) * (1 + both))
+    return fisher(p_chi, p_runs)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -170,7 +199,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     '' and spans ''. Repeated rows and null ids give a row each, and repeated
     candidates count each time; other columns are not read.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     rows = settle(src.mapInArrow(_scan, "doc_id long, base array<struct<start:long,kind:int,end:long>>, found array<struct<start:long,end:long,band:int,bin:int>>"))
     seen = rows.select(F.inline("found")).groupBy("band", "bin").count().collect()
     cuts = discovery_bins({(r["band"], r["bin"]): r["count"] for r in seen})
