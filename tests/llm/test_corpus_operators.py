@@ -299,6 +299,28 @@ def test_battery_separates():
     assert min(map(secrets.battery, ["user_profile_settings_page_2", "com.example.deeply.nested_package1", "2024-01-01T00-00-00-session-log"])) > 1e-3
 
 
+ALPHABETS = {"digits": "0123456789", "hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "small letters": "abcdefghijklmnopqrstuvwxyz", "small letters and digits": "abcdefghijklmnopqrstuvwxyz0123456789", "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+@pytest.mark.parametrize("n", [24, 48, 200])
+@pytest.mark.parametrize("letters", ALPHABETS.values(), ids=ALPHABETS)
+def test_battery_is_calibrated(letters, n):
+    """Under a uniform alphabet each test, and all together, is below a level about as often as the level says; text is far below."""
+    rng = random.Random(n)
+    p = []
+    for _ in range(1500):
+        size, codes = secrets.encoding(np.frombuffer("".join(rng.choice(letters) for _ in range(n)).encode(), np.uint8).astype(np.int64))
+        tests = secrets.uniform(size, codes)
+        p.append([*tests, secrets.fisher(*tests)])
+    for level in (0.01, 0.1, 0.5):
+        share = (np.array(p) < level).mean(axis=0)
+        assert (share < 1.45 * level + 0.012).all() and (share[[1, 3]] > 0.5 * level - 0.01).all(), (level, share)
+    text = "thequickbrownfoxjumpsoverthelazydogandthenrunsawayagainintotheforest"
+    size, codes = secrets.encoding(np.frombuffer(text.encode(), np.uint8).astype(np.int64))
+    assert size == 26 and secrets.encoding(np.frombuffer(b"2024010120240102", np.uint8).astype(np.int64))[0] == 10
+    assert secrets.fisher(*secrets.uniform(10, np.tile([2, 0, 2, 4, 0, 1], 8))) < 1e-3
+
+
 def test_secrets_without_digits_or_beside_base_spans(spark):
     rng = random.Random(6)
     both, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz"
@@ -360,6 +382,44 @@ def test_urls(spark):
     assert url_filter.url_filter(df.limit(0)).count() == 0
 
 
+def test_urls_of_no_rule(spark, monkeypatch):
+    """Labels beyond any number of suffixes and domains count, and whole segments do; what was held out is judged as its like."""
+    rules = {"bad/": "block", "good/": "allow"}
+    rng = random.Random(15)
+    name = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    common = name(20)  # segments that differ only after many characters
+    urls = [f"http://{name(8)}.bad/{common}x/{rng.randrange(10**6)}?{name(3)}={name(4)}&a=1" for _ in range(600)]
+    urls += [f"https://{name(8)}.good/{common}y/{name(30)}" for _ in range(600)]
+    asked = {f"http://{name(8)}.other/{common}x/{rng.randrange(10**6)}?b=1&a=1": "block", f"https://{name(8)}.other/{common}y/{name(30)}": "allow", "http://" + "x" * 300_000 + ".other/?": None}
+    df = spark.createDataFrame([(k, u) for k, u in enumerate([*urls, *urls[:50], *asked])], "page_id long, url string")
+    want = {r["page_id"]: (r["verdict"], r["score"]) for r in url_filter.url_filter(df, rules=rules).collect()}
+    assert [want[1250 + k][0] for k in range(2)] == ["block", "allow"] and len(want) == 1253
+    held = url_filter.held_out_scores(df, rules=rules).collect()
+    assert len(held) > 200 and all(zlib.crc32(r["url"].encode()) % 4 == 2 for r in held) and sum((r["score"] >= 0.5) == r["y"] for r in held) > 0.95 * len(held)
+    monkeypatch.setattr(url_filter, "BROADCAST_KEYS", 0)
+    assert {r["page_id"]: (r["verdict"], r["score"]) for r in url_filter.url_filter(df, rules=rules).collect()} == want
+
+
+def test_url_label_counts(spark):
+    """The counts beside each URL, by brute force over all labelled ones."""
+    rng = random.Random(16)
+    urls = [f"http://{rng.choice('abc')}.{rng.choice('xyz')}.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['en', 'de', 'es', 'fr'])}/{k % 70}" for k in range(300)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    src, labelled = url_filter._judged(df, "page_id", "url", url_filter.RULES)
+
+    def kinds(u):
+        host, _, path = u.removeprefix("http://").partition("/")
+        return host.split(".")[-1], ".".join(host.split(".")[-2:]), path.split("/")[0]
+
+    rule = lambda u: next((v for r, v in url_filter.RULES.items() if f".{u.removeprefix('http://')}".partition("/")[0].endswith("." + r.partition("/")[0]) and u.removeprefix("http://").partition("/")[2].startswith(r.partition("/")[2])), None)
+    known = {u: rule(u) for u in urls if rule(u)}
+    got = {r["url"]: r for r in url_filter._with_counts(src, labelled).collect()}
+    for u in urls:
+        for k, kind in enumerate(url_filter.KINDS):
+            same = [v for x, v in known.items() if kinds(x)[k] == kinds(u)[k]]
+            assert (got[u][f"n_{kind}"] or 0, got[u][f"b_{kind}"] or 0) == (len(same), same.count("block"))
+
+
 def test_trees():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 4))
@@ -441,6 +501,74 @@ def test_suffix_runs():
     assert {tuple(stream[f : f + html_text.DEPTH].tolist()): n for f, n in zip(first, pages, strict=True)} == {k: len(v) for k, v in whole.items()}
 
 
+def test_suffix_array():
+    rng = random.Random(17)
+    for n in (0, 1, 2, 60, 300):
+        tokens = [rng.randrange(3) for _ in range(n)] + [9, 1, 2, 0, 1, 2] * (n > 100) * 20
+        order, common = html_text.suffix_array(np.array(tokens, np.uint64))
+        want = sorted(range(len(tokens)), key=lambda k: tokens[k:])
+        assert order.tolist() == want
+        for k in range(1, len(want)):
+            a, b = tokens[want[k - 1] :], tokens[want[k] :]
+            assert common[k] == next((x for x, (u, v) in enumerate(zip(a, b, strict=False)) if u != v), min(len(a), len(b)))
+
+
+def brute_repeats(pages):
+    """Of pages without structure: each block's words that lie in no run of DEPTH words (or whole shorter block) of enough pages."""
+    runs = [{tuple(w[k : k + html_text.DEPTH]) for w in (b.split() for b in p) for k in range(max(1, len(w) - html_text.DEPTH + 1))} for p in pages]
+    least = max(html_text.LEAST_PAGES, html_text.LEAST_SHARE * len(pages))
+    often = {r for own in runs for r in own if sum(r in x for x in runs) >= least}
+    out = []
+    for p in pages:
+        kept = []
+        for b in p:
+            w = b.split()
+            n = min(len(w), html_text.DEPTH)
+            inside = {q for k in range(len(w) - n + 1) if tuple(w[k : k + n]) in often for q in range(k, k + n)}
+            kept.append(" ".join(x for k, x in enumerate(w) if k not in inside))
+        kept = [b for b in kept if b]
+        out.append("\n".join(kept or p))
+    return out
+
+
+def test_html_repeats(spark, monkeypatch):
+    """Repeated runs on pages without an article, over several tasks and arrays, against brute force."""
+    rng = random.Random(18)
+    shared = [prose(rng, rng.randrange(1, 30)) for _ in range(12)]
+    pages = []
+    for _ in range(40):
+        blocks = [rng.choice([prose(rng, rng.randrange(1, 25)), rng.choice(shared), f"{prose(rng, 3)} {rng.choice(shared[:4])} {prose(rng, 3)}"]) for _ in range(rng.randrange(1, 7))]
+        pages.append(blocks)
+    pages += [pages[0]] * 2
+    df = spark.createDataFrame([(k, "http://one.host/x", "".join(f"<p>{b}</p>" for b in p)) for k, p in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    want = dict(enumerate(brute_repeats(pages)))
+    for size in (1 << 18, 300):
+        monkeypatch.setattr(html_text, "ARRAY_TOKENS", size)
+        assert {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()} == want
+    assert sum(want[k] != "\n".join(p) for k, p in enumerate(pages)) > 10
+
+
+def test_html_repeats_in_articles(spark):
+    """Blocks that most articles of a host have go, and elements of doubtful names where the host has them on several pages; copies stay whole."""
+    page = lambda k, more="": f"<article><p>Read our newsletter every day of the week</p><p>{OWN[k]}</p>{more}</article>"
+    related = lambda k: f"<section class='related'><p>other things {k}</p></section>"
+    rows = [(k, "http://a.x/", page(k, related(k) if k < 4 else "<div class=discussion><p>Only here</p></div>" if k == 4 else "")) for k in range(6)]
+    rows += [(10 + k, "http://copies.x/", page(0)) for k in range(5)] + [(20, "http://single.x/", page(0, related(0)))]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()}
+    line = "Read our newsletter every day of the week"
+    assert got == {k: OWN[k] + ("\nOnly here" if k == 4 else "") for k in range(6)} | {10 + k: f"{line}\n{OWN[0]}" for k in range(5)} | {20: f"{line}\n{OWN[0]}"}
+
+
+def test_deep_pages():
+    """Time in proportion to the length, whatever is left open or closed in vain."""
+    import time
+
+    for page in ("<div>" * 100_000 + "x", "<div>x</section>" * 50_000, "<li><ul>" + "<div>" * 50_000 + "<li>" * 50_000, "<span hidden>" * 60_000 + "<p>" * 60_000, "<select>" * 50_000 + "<div>" * 50_000, "<header><main>" * 50_000 + "x</p>" * 50_000):
+        began = time.process_time()
+        html_text.blocks_of(page)
+        assert time.process_time() - began < 5
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
