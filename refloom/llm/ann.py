@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from refloom.llm.durable import settle
+from refloom.llm.durable import settle, small_batches
 
 #: Vectors that the codebooks are fitted on, at most: those of the least hash.
 TRAIN_ROWS = 20_000
@@ -252,7 +252,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "ve
     each. With fewer candidates than k all are returned; an empty table gives none.
     """
     pick = lambda df: df.select(F.col(id_col).cast("long").alias("vec_id"), _valid(vector_col).alias("x")).where("vec_id is not null and x is not null")
-    base = pick(vectors)
+    base = pick(small_batches(vectors))
     sizes = base.groupBy(F.size("x").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
     empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if sizes is None:

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from refloom.llm.columns import spare
-from refloom.llm.durable import settle
+from refloom.llm.durable import settle, small_batches
 from refloom.llm.words import ALNUM, Words, split_words, word_chunks
 
 WINDOW = 13
@@ -215,7 +215,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     each; other columns are not read.
     """
     rounds = _rounds(benchmark, item_col, item_text, round_bytes)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if len(rounds) == 1:
         rows = src.mapInArrow(_search(rounds[0]), "doc_id long, " + FOUND)
     else:
@@ -237,9 +237,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """
     rounds = _rounds(benchmark, item_col, item_text, round_bytes)
     if len(rounds) == 1:
-        return docs.mapInArrow(_clean(rounds[0], text_col), docs.schema)
+        return small_batches(docs).mapInArrow(_clean(rounds[0], text_col), docs.schema)
     (key,) = spare(docs, "key")
-    texts = docs.select(F.sha2(F.col(text_col), 256).alias("key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    texts = small_batches(docs).select(F.sha2(F.col(text_col), 256).alias("key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     words = texts.mapInArrow(_search(Patterns([])), "key string, " + FOUND).groupBy("key").agg(F.max("n_words").alias("n_words"))
     bad = settle(_in_rounds(texts, rounds).join(words, "key").where(F.col("n_hit") * 20 >= F.col("n_words")).select(F.col("key").alias(key)))
     kept = docs.withColumn(key, F.sha2(F.col(text_col), 256)).join(F.broadcast(bad) if bad.count() <= BROADCAST_TEXTS else bad, key, "left_anti")

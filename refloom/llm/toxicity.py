@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refloom.llm.durable import small_batches
 from refloom.llm.words import ALNUM, Words, combine, hash_words, word_chunks
 
 #: Labelled rows that are learnt from, at most (those of the least hash), and distinct features of each, at most that many bytes in all.
@@ -131,7 +132,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     0.5. A null id is not held out. Repeated rows give a row each; other columns are
     not read. The weights are few (L1) and below 2**BITS, whatever the input.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     model = train(src, labels)
     rows = src.mapInArrow(_score(*model), "doc_id long, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -140,7 +141,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of documents whose text scores below threshold, all columns as they were."""
-    model = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
+    model = train(small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
     kept = docs.mapInArrow(_below(*model, threshold), docs.schema)
     return kept
 
