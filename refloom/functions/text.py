@@ -48,9 +48,22 @@ UNACCENT_STEPS: list[Step] = [("tr", "".join(UNACCENT.values()), "".join(k * len
 COMMON_STEPS: list[Step] = SPACE_STEPS + PUNCT_STEPS + JOIN_HYPHEN + LIGATURE_STEPS
 
 
+def merged(steps: list[Step]) -> list[Step]:
+    """The same steps with neighbours that map single characters made one."""
+    out: list[Step] = []
+    for kind, what, by in steps:
+        if kind == "tr" and out and out[-1][0] == "tr":
+            first, then = dict(zip(out[-1][1], out[-1][2], strict=True)), dict(zip(what, by, strict=True))
+            both = {a: then.get(b, b) for a, b in first.items()} | {a: b for a, b in then.items() if a not in first}
+            out[-1] = ("tr", "".join(both), "".join(both.values()))
+        else:
+            out.append((kind, what, by))
+    return out
+
+
 def apply(value: Column, steps: list[Step]) -> Column:
     """The column after the steps. A run of literal steps is skipped for rows that hold none of them."""
-    k = 0
+    steps, k = merged(steps), 0
     while k < len(steps):
         kind, what, by = steps[k]
         run = list(itertools.takewhile(lambda x: x[0] == "lit", steps[k:]))
@@ -135,9 +148,25 @@ def soft_equal(a: Column, b: Column) -> Column:
     return same | ((F.length(a) > 5) & (F.length(b) > 5) & (drop(a) == drop(b)))
 
 
+def archive_equal(a: Column, b: Column) -> Column:
+    """Equal after canonical form, or after OCR letters too; case, hyphens and lengths count."""
+    a, b = canonical(a), canonical(b)
+    return (a == b) | (ocr_link(a) == ocr_link(b))
+
+
+def best_error_line(message: Column) -> Column:
+    """Of a message's lines the one of the highest log(length + 1) * sqrt(place), the last of equals: later and longer lines say more. A run of blanks counts once."""
+    lines = F.split(message, "\n")
+    rated = F.transform(lines, lambda x, i: F.struct((F.log(F.length(F.regexp_replace(x, r"\s+", " ")) + F.lit(1.0)) * F.sqrt(i + F.lit(1.0))).alias("r"), i.alias("k"), x.alias("line")))
+    return F.element_at(F.array_sort(rated), -1)["line"]
+
+
 def match_key(value: Column, accents: bool = False) -> Column:
-    """What clean_equal compares: OCR letters, ligatures and quotes made alike, then only a-z and 0-9."""
-    value = apply(value, OCR_EVAL + LIGATURE_STEPS + SIMPLE_PUNCT_STEPS + (UNACCENT_STEPS if accents else []))
+    """What clean_equal compares: OCR letters, ligatures and quotes made alike, then only a-z and 0-9.
+
+    Spaces, dashes and quotes aren't made alike first, since none of them is kept.
+    """
+    value = apply(value, OCR_EVAL + LIGATURE_STEPS + (UNACCENT_STEPS if accents else []))
     return F.regexp_replace(F.lower(value), "[^a-z0-9]+", "")
 
 
@@ -179,14 +208,39 @@ def searchable(value: Column) -> Column:
     return (F.length(value) > 1) & (F.trim(value) != "") & ((F.length(value) > 4) | value.rlike("^[A-Z0-9]"))
 
 
+# Letters that names of files keep beside A-Z, a-z and digits.
+NAME_LETTERS = "àäçéèïîøöôüùαβγ"
+
+
 def plain_name(value: Column) -> Column:
-    """A name safe for files, 30 characters at most."""
-    return F.substring(F.regexp_replace(value, "[^A-Za-z0-9]+", "_"), 1, 30)
+    """A name safe for files: runs of other characters become _."""
+    return F.regexp_replace(value, f"[^A-Za-z0-9{NAME_LETTERS}]+", "_")
+
+
+def file_name(doc: Column, corpus: Column, author: Column, year: Column, title: Column) -> Column:
+    """A file name that people can read: id, corpus, author, year and the title's first 30 characters, made safe first."""
+    return F.concat_ws("-", doc, *map(plain_name, (corpus, author, year)), F.substring(plain_name(title), 1, 30))
+
+
+def facet_name(value: Column) -> Column:
+    """A facet's name without what stands before its first point."""
+    return F.regexp_replace(value, r"^[^.]+\.", "")
 
 
 def url_quote(value: Column) -> Column:
-    """Percent-encoding in which a space is %20."""
-    return F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
+    """Percent-encoding in which a space is %20, and colons stay."""
+    out = F.url_encode(value)
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%3A", ":")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def query_quote(value: Column) -> Column:
+    """url_quote of a query in which ~ and / are single wildcards; these go at the start or end of the query and beside spaces, where they aren't allowed."""
+    out = url_quote(F.translate(value, "~/", "??"))
+    for pattern, by in (("^%3F", ""), ("%20%3F", "%20"), ("%3F%20", "%20"), ("%3F$", "")):
+        out = F.regexp_replace(out, pattern, by)
+    return out
 
 
 def doc_key(path: Column, extension: str) -> Column:

@@ -11,8 +11,14 @@ MONTHS = ("January", "February", "March", "April", "May", "June", "July", "Augus
 PERIODS = (("*", 1979), (1980, 1999), (2000, "*"))
 NO_PERIOD, OUT_OF_RANGE = "UNKOWN_PERIOD", "YEAR_OUT_OF_RANGE"
 
-# Words that tell the level of an organisation.
-ORG_LEVELS = {"institution": ("University", "Universit", "Institut", "College", "School", "Academy", "Hospital"), "department": ("Department", "Dept", "Division", "Faculty", "Section"), "laboratory": ("Laborator", "Lab", "Centre", "Center", "Group", "Unit")}
+LEAST_YEAR, MOST_YEAR = 0, 2100
+
+# What tells the level of an organisation anywhere in its name, and at its start.
+ORG_LEVELS = {"institution": ("Universi", "Academy", "Pasteur"), "department": ("Depart", "Dept", "Dipart", "Départ", "School", "Facul"), "laboratory": ("Unit", "Labo", "Servic")}
+ORG_STARTS = {"institution": ("Inserm",), "department": ("Insti",), "laboratory": ()}
+
+# Language codes that are rewritten; all others stay.
+LANGUAGES = {"EN": "en", "En": "en", "--": "en", "DE": "de", "De": "de", "FR": "fr", "Fr": "fr"}
 
 
 def month_number(value: Column) -> Column:
@@ -36,32 +42,34 @@ def year_prefix(date: Column) -> Column:
 
 
 def period(date: Column, parity: bool = False) -> Column:
-    """The label of the period of a date. With parity a period's last year falls into the next one."""
+    """The label of the period of a date, by its first four characters; years before LEAST_YEAR and after MOST_YEAR are out of range.
+
+    With parity a period's last year falls into the next one.
+    """
     year = F.expr("null").cast("int") if date is None else F.substring(date, 1, 4).try_cast("int")
     out = F.lit(OUT_OF_RANGE)
     for a, b in reversed(PERIODS):
         low = F.lit(True) if a == "*" else year >= (a - 1 if parity else a)
         high = F.lit(True) if b == "*" else (year < b if parity else year <= b)
         out = F.when(low & high, F.lit(f"[{a} TO {b}]")).otherwise(out)
-    return F.when(year.isNull(), F.lit(NO_PERIOD)).otherwise(out)
+    return F.when(year.isNull(), F.lit(NO_PERIOD)).when((year < LEAST_YEAR) | (year > MOST_YEAR), F.lit(OUT_OF_RANGE)).otherwise(out)
 
 
 def language_code(value: Column) -> Column:
-    """ISO 639 code of an English language name or a code in any case."""
-    low = F.lower(value)
-    out = F.substring(low, 1, 2)
-    for name, code in (("english", "en"), ("french", "fr"), ("german", "de"), ("spanish", "es"), ("italian", "it"), ("latin", "la")):
-        out = F.when(low == name, F.lit(code)).otherwise(out)
-    return out
+    """The ISO 639 code of a publisher's code by LANGUAGES; others stay as they are."""
+    table = F.create_map(*[F.lit(x) for kv in LANGUAGES.items() for x in kv])
+    return F.coalesce(table[value], value)
 
 
 def org_level(value: Column) -> Column:
-    """institution, department or laboratory by keyword, in that order; else null."""
+    """institution, department or laboratory by what the name has or starts with, in that order; else null."""
     out = F.lit(None).cast("string")
     for level, keys in reversed(ORG_LEVELS.items()):
         hit = F.lit(False)
         for k in keys:
             hit = hit | value.contains(k)
+        for k in ORG_STARTS[level]:
+            hit = hit | value.startswith(k)
         out = F.when(hit, F.lit(level)).otherwise(out)
     return out
 
@@ -108,3 +116,26 @@ def page_suffixes(last: Column, first: Column) -> Column:
 def duration(seconds: Column) -> Column:
     """A rounded duration for people."""
     return F.when(seconds < 60, F.concat(F.bround(seconds).cast("int"), F.lit(" s"))).when(seconds < 3600, F.concat(F.bround(seconds / 60).cast("int"), F.lit(" min"))).otherwise(F.concat(F.bround(seconds / 3600, 1), F.lit(" h")))
+
+
+def id_parts(value: Column) -> Column:
+    """The ids of a list written with spaces."""
+    return F.filter(F.split(F.trim(value), " +"), lambda x: x != "")
+
+
+def cover_date(value: Column) -> Column:
+    """Struct of year, month and day of a cover date of digits (YYYYMMDD, YYYYMM, YYYY) or of parts between spaces, dashes or slashes; null where they are missing."""
+    parts = F.split(F.trim(value), "[ /-]+")
+    digits = F.trim(value).rlike("^[0-9]{6}([0-9]{2})?$")
+    part = lambda a, n, k: F.nullif(F.when(digits, F.substring(F.trim(value), a, n)).otherwise(F.try_element_at(parts, F.lit(k))), F.lit(""))
+    return F.struct(part(1, 4, 1).alias("year"), part(5, 2, 2).alias("month"), part(7, 2, 3).alias("day"))
+
+
+def id_kind(value: Column) -> Column:
+    """doi, isbn, patent or other, by the form of an identifier."""
+    return F.when(bare_doi(value).rlike(r"^10\.[0-9]{4,}/"), "doi").when(is_isbn(value), "isbn").when(F.trim(value).startswith("PAT"), "patent").otherwise("other")
+
+
+def seconds_needed(n: Column, cpus: Column, rate: float = 1.025) -> Column:
+    """Seconds that n documents take on so many CPUs at a rate a CPU and second."""
+    return F.try_divide(n.cast("double"), cpus * F.lit(rate))

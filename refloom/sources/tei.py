@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import xml.etree.ElementTree as ET
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -59,9 +64,22 @@ def strip_doctype(xml: Column) -> Column:
     return F.regexp_replace(xml, r"(?s)<!DOCTYPE[^\[>]*(?:\[.*?\]\s*)?>", "")
 
 
-def document_id(path: Column) -> Column:
-    """First run of 40 upper-case hex digits; null if there is none."""
-    return F.nullif(F.regexp_extract(path, "[0-9A-F]{40}", 0), F.lit(""))
+def document_id(path: Column, required: bool = False) -> Column:
+    """First run of 40 upper-case hex digits; null if there is none, or an error where it is required."""
+    found = F.nullif(F.regexp_extract(path, "[0-9A-F]{40}", 0), F.lit(""))
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("no document id in "), path)).cast("string")) if required else found
+
+
+def listed(docs: DataFrame, names: DataFrame, name: str = "value") -> DataFrame:
+    """Those of docs whose key a list names, one a line."""
+    return docs.join(names.select(F.trim(name).alias("doc_key")).where("doc_key <> ''").distinct(), "doc_key", "left_semi")
+
+
+def doctype_counts(docs: DataFrame) -> DataFrame:
+    """One row: documents that are missing, that aren't UTF-8 (with the mark of undecodable bytes), without a DOCTYPE, and all."""
+    n = lambda test: F.count(F.when(test, 1))
+    xml = F.col("xml")
+    return docs.agg(n(xml.isNull()).alias("missing"), n(xml.contains("\ufffd")).alias("undecodable"), n(xml.isNotNull() & ~xml.contains("<!DOCTYPE")).alias("no_doctype"), F.count("*").alias("docs"))
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -90,31 +108,91 @@ def references(docs: DataFrame, wide: bool = False) -> DataFrame:
     return rows.select("doc_key", "n", F.coalesce("__id", F.concat(F.lit("NO_ID-"), k)).alias("bib_id"), "bib")
 
 
+def references_anywhere(docs: DataFrame) -> DataFrame:
+    """doc_key and how many structured references its lists have, wherever these stand."""
+    lists = F.array_join(F.regexp_extract_all("xml", F.lit(r"(?s)(<listBibl\b.*?</listBibl>)"), 1), "")
+    return docs.select("doc_key", F.regexp_count(lists, F.lit(r"<biblStruct[\s>/]")).alias("n_anywhere"))
+
+
 def unstructured_count(docs: DataFrame) -> DataFrame:
     """doc_key and how many semi-structured bibl elements its lists have."""
     lists = F.array_join(F.regexp_extract_all("xml", F.lit(r"(?s)(<listBibl\b.*?</listBibl>)"), 1), "")
     return docs.select("doc_key", F.regexp_count(lists, F.lit(r"<bibl[\s>]")).alias("n_bibl"))
 
 
-def subvalues(bibs: DataFrame) -> DataFrame:
-    """doc_key, bib_id, seq, path, field and value of each value with a word character; ignored fields dropped.
-
-    A date's @when comes before its text; a page scope's text is its first page, else its attributes are.
+#: Attributes that tell elements of one name apart in paths.
+TELLING = ("type", "level", "unit")
+ROOT = "biblStruct"
+
+
+def element_path(names: list[str]) -> str:
+    """The path of an element from the names, with attributes, of those it stands in and its own; . for the reference itself."""
+    return "/".join(names) or "."
+
+
+def _named(element) -> str:
+    """Local name with the telling attributes, in their order."""
+    return element.tag.rpartition("}")[2] + "".join(f'[@{k}="{v}"]' for k, v in element.attrib.items() if k in TELLING)
+
+
+def _own_values(element, path: str) -> list[tuple[str, str, int]]:
+    """(path, text, how often it is cleaned) of what an element itself says."""
+    name, text = element.tag.rpartition("}")[2], element.text
+    if name == "date":
+        return [(f"{path}/@when", element.get("when"), 1)] if element.get("when") is not None else [(path, text, 2)] if text else []
+    if name == "biblScope" and element.get("unit") == "page":
+        return [(f"{path}/@from", text, 1)] if text else [(f"{path}/@{end}", element.get(end), 1) for end in ("from", "to") if element.get(end)]
+    return [(path, text, 1)] if text and re.search(r"\w", text) else []
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each value of each element, in document order; none for references that can't be parsed."""
+    kinds = (pa.int32(), pa.string(), pa.string(), pa.int32())
+    for batch in batches:
+        at, rows = [], []
+        for place, bib in enumerate(batch["bib"].to_pylist()):
+            try:
+                root = ET.fromstring(bib or "")
+            except ET.ParseError:
+                continue
+            seq, open_ = 0, [(root, [])]
+            while open_:
+                element, names = open_.pop()
+                for path, text, times in _own_values(element, element_path(names)):
+                    at.append(place)
+                    rows.append((seq, path, text, times))
+                    seq += 1
+                open_ += [(x, [*names, _named(x)]) for x in reversed(element) if isinstance(x.tag, str)]
+        kept = [batch[c].take(pa.array(at, pa.int64())) for c in ("doc_key", "bib_id")]
+        yield pa.record_batch([*kept, *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=["doc_key", "bib_id", "seq", "path", "raw", "times"])
+
+
+def subvalues(bibs: DataFrame, every: bool = False) -> DataFrame:
+    """doc_key, bib_id, seq, path, field and value of each value of all elements; ignored fields dropped.
+
+    A date's @when is its value, or else its text, which is cleaned twice; a page
+    scope's text is its first page, or else its attributes are. Paths that feed no
+    field have the field UNKNOWN_FIELD; they are dropped but with every. Elements
+    stand in any depth, which column functions can't follow, so each reference is
+    parsed once, in Arrow batches.
     """
-    parts = []
-    for seq, (path, field) in enumerate(FIELDS.items()):
-        if field == "__IGNORE__":
-            continue
-        last = path.rpartition("/")[2]
-        x = f"/biblStruct/{path}" if last.startswith("@") else f"/biblStruct/{path}/text()"
-        if last.startswith("title[") and "@type" not in path:
-            x = f'/biblStruct/{path.replace("]", "][not(@type)]")}/text()'
-        elif last == "date":
-            x = "/biblStruct/monogr/imprint/date[not(@when) and not(@type)]/text()"
-        parts.append(F.struct(F.lit(seq).alias("seq"), F.lit(path).alias("path"), F.lit(field).alias("field"), F.xpath("bib", F.lit(x)).alias("found")))
-    rows = spread(bibs, "doc_key", "bib_id").select("doc_key", "bib_id", F.inline(F.array(*parts))).select("doc_key", "bib_id", "seq", "path", "field", F.posexplode("found").alias("k", "raw"))
-    value = tx.query_fragment(F.col("raw"))
-    return rows.withColumn("value", value).where(~F.col("value").rlike(r"(?U)^\W*$")).drop("raw")
+    kinds = {f.name: f.dataType.simpleString() for f in bibs.schema}
+    rows = spread(bibs, "doc_key", "bib_id").select("doc_key", "bib_id", "bib").mapInArrow(_walk, f"doc_key {kinds['doc_key']}, bib_id {kinds['bib_id']}, seq int, path string, raw string, times int")
+    once = tx.query_fragment(F.col("raw"))
+    rows = rows.withColumn("value", F.when(F.col("times") == 2, tx.query_fragment(once)).otherwise(once)).where("value <> ''").drop("raw", "times")
+    rows = translate_paths(rows).where(F.col("field") != "__IGNORE__").withColumn("k", F.lit(0))
+    return rows if every else rows.where(F.col("field") != UNKNOWN_FIELD)
+
+
+def unknown_paths(rows: DataFrame) -> DataFrame:
+    """Paths that feed no field, and how often they occur: what a warning would say of each."""
+    return rows.where(F.col("field") == UNKNOWN_FIELD).groupBy("path").agg(F.count("*").alias("n"))
+
+
+def without_tokens(rows: DataFrame) -> DataFrame:
+    """doc_key, bib_id and no_token of each reference with values: whether the filter of tokens left none."""
+    kept = F.sum(F.size(tokens(F.col("field"), F.col("value"))))
+    return rows.groupBy("doc_key", "bib_id").agg((kept == 0).alias("no_token"))
 
 
 def translate_paths(rows: DataFrame, path: str = "path") -> DataFrame:
@@ -193,8 +271,10 @@ def simplified(xml: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(xml, r"(?s)<teiHeader\b.*?</teiHeader>", "<teiHeader/>"), r"(?s)<text\b[^>]*>\s*(?:<back\b[^>]*>\s*(?:<div\b[^>]*>\s*<listBibl\s*/>\s*</div>\s*)?</back>\s*)?</text>", "<text/>")
 
 
-def raw_text(xml: Column) -> Column:
-    """The text between tags, the five entities decoded."""
+def raw_text(xml: Column, region: str | None = None) -> Column:
+    """The text between tags, the five entities decoded; with region only what stands between that element's first start tag and its last end tag."""
+    if region:
+        xml = F.regexp_extract(xml, rf"(?s)<{region}\b[^>]*>(.*)</{region}>", 1)
     out = F.regexp_replace(xml, "<[^>]+>", "")
     for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(a), F.lit(b))
