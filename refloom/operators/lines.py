@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from refloom.functions.layout import spread
 
-# The heading of a reference list, and what speaks for a reference line: (weight, pattern).
+# The heading of a reference list, and what speaks for a reference line: (weight, pattern). The two of weight 1
+# with [\s\d] look ahead to it elsewhere; they take it here, since not every engine looks ahead.
 HEADER = r"R ?[Ee] ?[Ff] ?[Ee] ?[Rr] ?[Ee] ?[Nn] ?[Cc] ?[Ee] ?[Ss]?s*:?\s*"
 FEATURES = (
     (2, r"[:;,.\(\[]?\s?(?:18|19|20)[0-9]{2}[abcde]?\s?[:;,.\)\]]"),
@@ -17,8 +18,8 @@ FEATURES = (
     (2, r"[0-9]+(?:\([0-9]+\))?\s?,\s?[0-9]+\s?[-‒–—―−﹣]\s?[0-9]+"),
     (2, r"\b[Ii]n ?:"),
     (3, r"\bdoi: ?10\.[\S]+"),
-    (1, r"\b[Vv]ol(?:\.|)[\s\d]"),
-    (1, r"\bpp(?:\.|)[\s\d]"),
+    (1, r"\b[Vv]ol\.?[\s\d]"),
+    (1, r"\bpp\.?[\s\d]"),
     (1, r"\b[0-9]+\s?[-‒–—―−﹣]\s?[0-9]+\b"),
 )
 STARTS = ((2, r"^(?:\[.{1,4}\]|[0-9]{1,3}\. )"), (2, r"^(?:\[.{1,4}\])\s*[A-Z].*?\b[A-Z]"))
@@ -54,12 +55,13 @@ def cooccurrence(lines: DataFrame, refs: DataFrame, key: str, line: str = "line"
     return occurrences.join(words, [key, "token"]).groupBy(key, "i", "j").agg(F.sum("n").alias("score"))
 
 
-def forward_sums(values: Column, span: Column) -> Column:
-    """For each place of an array the sum of span values from it on, cut at the end; by differences of prefix sums."""
-    start = F.array(F.lit(0).cast("bigint"))
-    sums = F.aggregate(values, start, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x.cast("bigint"))))
+def forward_sums(values: Column, span: Column, sums: Column | None = None) -> Column:
+    """For each place of an array the sum of span values from it on, cut at the end; by differences of prefix sums, which are made here if they aren't given."""
     n = F.size(values)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(sums, F.least(i + span, n) + 1) - F.element_at(sums, i + 1))).otherwise(F.array().cast("array<bigint>"))
+    if sums is None:
+        sums = F.transform(values, lambda x, i: F.aggregate(F.slice(values, 1, i + 1), F.lit(0).cast("bigint"), lambda acc, y: acc + y.cast("bigint")))
+    upto = lambda k: F.when(k > 0, F.element_at(sums, F.greatest(k, F.lit(1)).cast("int"))).otherwise(F.lit(0).cast("bigint"))
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: upto(F.least(i + span, n)) - upto(i))).otherwise(F.array().cast("array<bigint>"))
 
 
 def forward_window(rows: DataFrame, partition: list[str], order: str, value: str, span: int, name: str = "ahead") -> DataFrame:
@@ -75,10 +77,12 @@ def zones(scored: DataFrame, key: str, n_refs: str = "n_refs", parity: bool = Fa
     of 3 n + 1 lines (never before the first line, but with parity). It goes on while
     the next short sum, of min(n / 2, 10) lines, is positive.
     """
-    per = spread(scored, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", F.col("score").cast("bigint").alias("score")))).alias("__l"), F.max(F.when(F.col("header"), F.col("i"))).alias("__h"), F.max(n_refs).cast("int").alias("n_refs"))
-    per = per.withColumn("__s", F.transform("__l", lambda x: x["score"]))
+    score = F.col("score").cast("bigint")
+    summed = scored.withColumn("__sum", F.sum(score).over(W.partitionBy(key).orderBy("i").rowsBetween(W.unboundedPreceding, 0)))
+    per = summed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", score.alias("score"), "__sum"))).alias("__l"), F.max(F.when(F.col("header"), F.col("i"))).alias("__h"), F.max(n_refs).cast("int").alias("n_refs"))
+    per = per.withColumns({"__s": F.transform("__l", lambda x: x["score"]), "__sums": F.transform("__l", lambda x: x["__sum"])})
     best = lambda a: (F.array_position(a, F.array_max(a)) - 1).cast("int")
-    per = per.withColumns({"__long": forward_sums(F.col("__s"), F.col("n_refs") * 3 + 1), "__short": forward_sums(F.col("__s"), F.least((F.col("n_refs") / 2).cast("int"), F.lit(10)))})
+    per = per.withColumns({"__long": forward_sums(F.col("__s"), F.col("n_refs") * 3 + 1, F.col("__sums")), "__short": forward_sums(F.col("__s"), F.least((F.col("n_refs") / 2).cast("int"), F.lit(10)), F.col("__sums"))})
     before = best(F.col("__long")) - 1
     per = per.withColumn("first", F.coalesce("__h", F.when(F.col("n_refs") == 1, best(F.col("__s"))).otherwise(before if parity else F.greatest(before, F.lit(0)))))
     n = F.size("__s")
@@ -88,6 +92,10 @@ def zones(scored: DataFrame, key: str, n_refs: str = "n_refs", parity: bool = Fa
     return per.select(key, F.when(fits, F.col("first")).alias("first"), F.when(fits, F.col("last")).alias("last"), "n_refs")
 
 
+#: Results of a fold that are gathered in one array.
+CHUNK = 128
+
+
 def champions(scores: DataFrame, lines: DataFrame, key: str, n_refs: str = "n_refs") -> DataFrame:
     """key, i and j: the reference that each line belongs to, or null.
 
@@ -112,51 +120,49 @@ def champions(scores: DataFrame, lines: DataFrame, key: str, n_refs: str = "n_re
         tie = (F.size(x["c"]) > 1) & (x["m"] > 5) & F.coalesce(F.array_contains(x["c"], before), F.lit(False)) & (F.size(x["c"]) <= x["n"] / 10)
         j = F.when(tie, before).when(one.isNotNull() & ~same & (x["m"] >= 5), one).when(one.isNotNull() & same & (x["m"] > drift * 2), one)
         memory = F.when(tie, before).when(one.isNotNull() & (same | (x["m"] >= 5)), one)
-        return F.struct(memory.alias("memory"), F.concat(acc["out"], F.array(F.struct(x["i"].alias("i"), j.alias("j")))).alias("out"))
-
-    start = F.struct(none.alias("memory"), F.array().cast("array<struct<i:int,j:int>>").alias("out"))
-    return per.select(key, F.inline(F.aggregate("__l", start, step, lambda a: a["out"])))
-
-
-def check_sequence(champs: list[int | None]) -> tuple[bool, list[int | None]]:
-    """Whether references come in sequence, and the list with at most one intruder replaced by what both its neighbours are."""
-    fixed, ordered, corrected, strays = list(champs), True, False, 0
-    last_known: int | None = -1
-    before: int | None = -1
-    for k, w in enumerate(champs):
-        after = champs[k + 1] if k + 1 < len(champs) else -1
-        if w is None:
-            before = None
-        elif w == last_known:
-            continue
-        elif last_known is not None and w == last_known + 1:
-            last_known = before = w
-        else:
-            strays += 1
-            if strays >= 3:
-                break
-            if not corrected and before == after:
-                w = fixed[k] = before
-                corrected = True
-                last_known = last_known if w is None else w
-            else:
-                ordered = False
-            before = w
-    return ordered, fixed
+        # Results are gathered in chunks, so that a step copies one chunk and not all of them.
+        full, one_more = F.size(acc["out"]) >= CHUNK, F.array(F.struct(x["i"].alias("i"), j.alias("j")))
+        done = F.when(full, F.concat(acc["done"], F.array(acc["out"]))).otherwise(acc["done"])
+        return F.struct(memory.alias("memory"), done.alias("done"), F.when(full, one_more).otherwise(F.concat(acc["out"], one_more)).alias("out"))
 
+    start = F.struct(none.alias("memory"), F.array().cast("array<array<struct<i:int,j:int>>>").alias("done"), F.array().cast("array<struct<i:int,j:int>>").alias("out"))
+    return per.select(key, F.inline(F.aggregate("__l", start, step, lambda a: F.concat(F.flatten(a["done"]), a["out"]))))
 
-def sequences(champs: DataFrame, key: str) -> DataFrame:
-    """key, ordered and the corrected references of its lines in order."""
-    per = champs.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "j"))), lambda x: x["j"]).alias("js"))
 
-    @F.pandas_udf("ordered boolean, js array<int>")
-    def run(values):
-        import pandas as pd
+def checked(js: Column) -> Column:
+    """Struct of ordered and js: whether an array of references (null for none) goes up one by one, with repeats, from 0; and the array with at most one stray corrected.
 
-        out = [check_sequence([None if x is None or x != x else int(x) for x in v]) for v in values]
-        return pd.DataFrame({"ordered": [o for o, _ in out], "js": [f for _, f in out]})
+    A stray is neither the reference before it, gaps aside, nor the next number. The
+    first stray whose two neighbours are alike (both null as well; before the first
+    and after the last stands -1) becomes what they are; any other one breaks the
+    order. The third stray ends the check. Repeats don't count as neighbours.
+    """
+    following = F.concat(F.slice(js, 2, F.greatest(F.size(js) - 1, F.lit(0))), F.array(F.lit(-1)))
+    steps = F.transform(F.arrays_zip(js.alias("w"), following.alias("after")), lambda x, k: F.struct(k.alias("k"), x["w"].alias("w"), x["after"].alias("after")))
+    none = F.lit(None).cast("int")
 
-    return per.select(key, run("js").alias("r")).select(key, "r.ordered", "r.js")
+    def step(acc, x):
+        w, up = x["w"], x["w"] == acc["known"] + 1
+        stray = w.isNotNull() & (w != acc["known"]) & ~up
+        strays = acc["strays"] + stray.cast("int")
+        mend = stray & (strays < 3) & acc["at"].isNull() & acc["before"].eqNullSafe(x["after"])
+        now = F.when(mend, acc["before"]).otherwise(w)
+        new = F.struct(
+            F.when(up, w).when(mend, F.coalesce(acc["before"], acc["known"])).otherwise(acc["known"]).alias("known"),
+            F.when(w.isNull(), none).when(up | stray, now).otherwise(acc["before"]).alias("before"),
+            strays.alias("strays"), F.when(mend, x["k"]).otherwise(acc["at"]).alias("at"), F.when(mend, acc["before"]).otherwise(acc["to"]).alias("to"), (acc["ordered"] & (~stray | mend | (strays >= 3))).alias("ordered"),
+        )
+        return F.when(acc["strays"] >= 3, acc).otherwise(new)
+
+    start = F.struct(F.lit(-1).alias("known"), F.lit(-1).alias("before"), F.lit(0).alias("strays"), none.alias("at"), none.alias("to"), F.lit(True).alias("ordered"))
+    end = lambda acc: F.struct(acc["ordered"].alias("ordered"), F.transform(js, lambda w, k: F.when(k == acc["at"], acc["to"]).otherwise(w)).alias("js"))
+    return F.aggregate(steps, start, step, end)
+
+
+def sequences(champs: DataFrame, key: str) -> DataFrame:
+    """key, ordered and the corrected references of its lines in order."""
+    per = champs.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "j"))), lambda x: x["j"].cast("int")).alias("js"))
+    return per.select(key, checked(F.col("js")).alias("r")).select(key, "r.ordered", "r.js")
 
 
 def islands(rows: DataFrame, partition: list[str], order: str, value: str, text: str, mark: str = "¤") -> DataFrame:
@@ -190,5 +196,12 @@ def padded_sequence(rows: DataFrame, order: list[str], width: int) -> DataFrame:
     return rows.withColumn("seq", F.lpad(F.row_number().over(W.orderBy(*order)).cast("string"), width, "0"))
 
 
+def lines_of_refs(grouped: DataFrame, refs: DataFrame, key: str, ref: str = "j", parity: bool = False) -> DataFrame:
+    """Each reference's lines, grouped to one text, beside the reference itself. With parity a document's last group is left out."""
+    if parity:
+        grouped = grouped.withColumn("__last", F.max(ref).over(W.partitionBy(key))).where(F.col(ref) < F.col("__last")).drop("__last")
+    return grouped.join(refs, [key, ref])
+
+
 def line_statistics(lines: DataFrame, key: str, line: str = "line") -> DataFrame:
     return lines.groupBy(key).agg(F.count("*").alias("n_lines"), F.sum(F.length(line)).alias("total"), F.avg(F.length(line)).alias("mean"))

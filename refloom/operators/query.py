@@ -109,7 +109,8 @@ def parse(query: str) -> Node:
             else:
                 term = re.sub(r"\\(.)", r"\1", word or "")
                 node = Node("all") if term == "*" and own is None else Node("exists", own) if term == "*" else Node("term", own, term)
-            parts.append(Node("not", parts=(node,)) if negate else node)
+            if node.kind != "should" or node.parts:  # an empty group is no condition
+                parts.append(Node("not", parts=(node,)) if negate else node)
             negate = False
         if len(parts) == 1:
             return parts[0]
@@ -158,10 +159,53 @@ def search(docs: DataFrame, query: str, fields: dict[str, str], limit: int | Non
     return rows if limit is None else rows.orderBy(F.desc("score"), key).limit(limit)
 
 
+def page(docs: DataFrame, query: str, fields: dict[str, str], start: int = 0, size: int = 100, output: list[str] | None = None, key: str = "id") -> DataFrame:
+    """The hits from place start on, size of them, best first and ties by key, with the columns of output."""
+    rows = search(docs, query, fields, key=key).orderBy(F.desc("score"), key).offset(start).limit(size)
+    return rows if output is None else rows.select(*output)
+
+
+def count(docs: DataFrame, query: str, fields: dict[str, str]) -> int:
+    """How many rows match."""
+    return search(docs, query, fields).count()
+
+
+def facet(docs: DataFrame, field: str, query: str, fields: dict[str, str]) -> DataFrame:
+    """Values of a field and how many matching rows have each."""
+    return search(docs, query, fields).groupBy(F.col(field).alias("value")).agg(F.count("*").alias("n"))
+
+
+def corpora_constraint(corpora: list[str], native: str = "refBibsNative") -> str:
+    """A query for documents of the corpora that have references of their own."""
+    return f"{native}:true AND ({' OR '.join(f'corpusName:{c}' for c in corpora)})"
+
+
+def both(stratum: str, constraint: str | None) -> str:
+    """A stratum's query, within a constraint if there is one."""
+    return f"({stratum}) AND ({constraint})" if constraint else stratum
+
+
+def unknown_fields(names: list[str], known: list[str]) -> list[str]:
+    """Those of names that aren't known."""
+    return [n for n in names if n not in known]
+
+
+#: Tokens of all queries that are broadcast at most, to drop others from the documents before the shuffle.
+BROADCAST_TOKENS = 200_000
+
+
 def match_any_token(queries: DataFrame, docs: DataFrame, q_key: str, q_text: str, d_key: str, d_text: str, least: int = 4) -> DataFrame:
-    """q_key, d_key and the number of distinct tokens that both have, by an equi-join on tokens; partial counts come before the shuffle."""
+    """q_key, d_key and the number of distinct tokens that both have, by an equi-join on tokens.
+
+    Where the queries' tokens are few, others are dropped from the documents before
+    the shuffle; a token of very many documents is split by the adaptive skew join,
+    which another shuffle follows; partial counts come before that.
+    """
     token = lambda df, key, text: df.select(F.col(key), F.explode(F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), 1), lambda t: F.length(t) >= least))).alias("token"))
     q, d = token(queries, q_key, q_text), token(docs, d_key, d_text)
+    asked = q.select("token").distinct()
+    if asked.count() <= BROADCAST_TOKENS:
+        d = d.join(F.broadcast(asked), "token", "left_semi")
     return q.join(d, "token").groupBy(q_key, d_key).agg(F.count("*").alias("score"))
 
 
