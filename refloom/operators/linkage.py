@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,24 +53,42 @@ def candidates(gold: DataFrame, todo: DataFrame, key: str = "doc_key", compare_d
     return pairs.select(key, "g.g", "t.t", rule.alias("rule")).where("rule is not null")
 
 
+PAIRS = "array<struct<g:bigint,t:bigint,rule:int>>"
+
+
+def _ordered(pairs: DataFrame, key: str) -> DataFrame:
+    """key and __all, its candidates by gold, then extracted reference."""
+    return pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("g").cast("long").alias("g"), F.col("t").cast("long").alias("t"), F.col("rule").cast("int").alias("rule")))).alias("__all"))
+
+
+def _fold(every: Column) -> Column:
+    """Of ordered candidates those that neither side of has been taken before."""
+    taken = lambda acc, x, f: F.exists(acc, lambda y: y[f] == x[f])
+    return F.aggregate(every, F.array().cast(PAIRS), lambda acc, x: F.when(taken(acc, x, "g") | taken(acc, x, "t"), acc).otherwise(F.concat(acc, F.array(x))))
+
+
 def greedy(pairs: DataFrame, key: str = "doc_key") -> DataFrame:
     """One-to-one pairs: each gold reference in order takes the first free extracted one that it may match."""
-    every = pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("g").cast("long").alias("g"), F.col("t").cast("long").alias("t"), F.col("rule").cast("int").alias("rule")))).alias("__all"))
-    start = F.array().cast("array<struct<g:bigint,t:bigint,rule:int>>")
-    taken = lambda acc, x, f: F.exists(acc, lambda y: y[f] == x[f])
-    fold = F.aggregate("__all", start, lambda acc, x: F.when(taken(acc, x, "g") | taken(acc, x, "t"), acc).otherwise(F.concat(acc, F.array(x))))
-    return every.select(key, F.inline(fold))
+    return _ordered(pairs, key).select(key, F.inline(_fold(F.col("__all"))))
 
 
 def align(gold: DataFrame, todo: DataFrame, key: str = "doc_key", compare_dates: bool = False) -> DataFrame:
-    """key, g, t, alignment (ali, silence or noise) and rule of every reference of documents that both sides have."""
-    both, _ = align_documents(gold, todo, key)
-    gold, todo = gold.join(both, key, "left_semi"), todo.join(both, key, "left_semi")
-    pairs = greedy(candidates(gold, todo, key, compare_dates), key)
-    none = F.lit(None)
-    silence = gold.join(pairs, [key, "g"], "left_anti").select(key, F.col("g").cast("long").alias("g"), none.cast("long").alias("t"), F.lit("silence").alias("alignment"), none.cast("int").alias("rule"))
-    noise = todo.join(pairs, [key, "t"], "left_anti").select(key, none.cast("long").alias("g"), F.col("t").cast("long").alias("t"), F.lit("noise").alias("alignment"), none.cast("int").alias("rule"))
-    return pairs.select(key, "g", "t", F.lit("ali").alias("alignment"), "rule").unionByName(silence).unionByName(noise)
+    """key, g, t, alignment (ali, silence or noise) and rule of every reference of documents that both sides have.
+
+    A document's references of either side and its candidates meet once, all dealt by
+    document; what is silence or noise is told there, so nothing is joined again.
+    """
+    ids = lambda side, c: side.groupBy(key).agg(F.collect_list(F.col(c).cast("long")).alias(f"__{c}"))
+    per = ids(gold, "g").join(ids(todo, "t"), key).join(_ordered(candidates(gold, todo, key, compare_dates), key), key, "left")
+    per = per.withColumn("__pairs", F.coalesce(_fold(F.col("__all")), F.array().cast(PAIRS)))
+    null, row = F.lit(None).cast("long"), lambda g, t, name, rule: F.struct(g.alias("g"), t.alias("t"), F.lit(name).alias("alignment"), rule.cast("int").alias("rule"))
+    left = lambda c: F.filter(f"__{c}", lambda x: ~F.exists("__pairs", lambda p: p[c] == x))
+    rows = F.concat(
+        F.transform("__pairs", lambda p: row(p["g"], p["t"], "ali", p["rule"])),
+        F.transform(left("g"), lambda x: row(x, null, "silence", null)),
+        F.transform(left("t"), lambda x: row(null, x, "noise", null)),
+    )
+    return per.select(key, F.inline(rows))
 
 
 def validate_hit(bib: Callable[[str], Column], hit: Callable[[str], Column], issn: Column) -> Column:
@@ -177,7 +196,9 @@ def diagnose(pairs: DataFrame, keep: list[str], fields: tuple[str, ...] = FIELDS
         @F.pandas_udf("string")
         def run(gold, todo):
             clean = lambda x: x if isinstance(x, str) else None
-            return gold.combine(todo, lambda g, t: diagnosis(clean(g), clean(t), field))
+            pairs = [(clean(g), clean(t)) for g, t in zip(gold, todo, strict=True)]
+            known = {p: diagnosis(*p, field) for p in set(pairs)}
+            return pd.Series([known[p] for p in pairs], dtype=object)
 
         return run
 

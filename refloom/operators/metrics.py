@@ -37,8 +37,57 @@ def field_recall_precision(df: DataFrame, ok: str = "F.aligne", soft: str = "F.m
     return out.withColumns({"R": F.col("Rs") + F.col("gR"), "P": F.col("Ps") + F.col("gP")})
 
 
-def name_recall_precision(df: DataFrame, ok: str, gold: str, todo: str) -> DataFrame:
-    return df.withColumns({"R": ratio(F.col(ok), F.col(gold)), "P": ratio(F.col(ok), F.col(todo))})
+def recall_by(df: DataFrame, aligned: str, silence: str) -> DataFrame:
+    """df with R alone."""
+    return df.withColumn("R", ratio(F.col(aligned), F.col(aligned) + F.col(silence)))
+
+
+def precision_by(df: DataFrame, aligned: str, noise: str) -> DataFrame:
+    """df with P alone."""
+    return df.withColumn("P", ratio(F.col(aligned), F.col(aligned) + F.col(noise)))
+
+
+def name_recall_precision(df: DataFrame, ok: str, gold: str, todo: str, errors: tuple[str, ...] = ()) -> DataFrame:
+    """df with R and P of names; with columns of errors that could be mended, also the gains gR and gP that their sum would bring."""
+    out = df.withColumns({"R": ratio(F.col(ok), F.col(gold)), "P": ratio(F.col(ok), F.col(todo))})
+    if not errors:
+        return out
+    mended = sum((F.coalesce(F.col(e), F.lit(0)) for e in errors), F.lit(0))
+    return out.withColumns({"gR": ratio(mended, F.col(gold)), "gP": ratio(mended, F.col(todo))})
+
+
+def author_totals(df: DataFrame, key: str, ok: str, gold: str, todo: str, name: str = "names") -> DataFrame:
+    """One row of key, aligned, noise and silence: names that agree, and those of one side only."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return df.agg(total(ok).alias("aligned"), (total(todo) - total(ok)).alias("noise"), (total(gold) - total(ok)).alias("silence")).select(F.lit(name).alias(key), "aligned", "noise", "silence")
+
+
+def by_period(df: DataFrame, period: str) -> DataFrame:
+    """Rows by the lower bound of their period, the open one first."""
+    return df.orderBy(F.coalesce(F.regexp_extract(period, "([0-9]+)", 1).try_cast("int") * F.when(F.col(period).contains("[*"), -1).otherwise(1), F.lit(1 << 30)), period)
+
+
+def wide_percentages(df: DataFrame, row: str, counts: list[str], across: bool = True, total: bool = False, digits: int = 2) -> DataFrame:
+    """row with each count as a share of its row, or (not across) of its column; with total a column, or a row, of the shares' whole."""
+    c = lambda n: F.col(f"`{n}`")
+    if across:
+        whole = sum((c(n) for n in counts), F.lit(0))
+        out = df.select(row, *[ratio(c(n), whole, digits).alias(n) for n in counts])
+        return out.withColumn("TOTAL", F.lit(1.0)) if total else out
+    sums = df.agg(*[F.sum(c(n)).alias(f"__{n}") for n in counts])
+    out = df.crossJoin(F.broadcast(sums)).select(F.col(row).cast("string").alias(row), *[ratio(c(n), c(f"__{n}"), digits).alias(n) for n in counts])
+    return out.unionByName(sums.select(F.lit("TOTAL").alias(row), *[F.lit(1.0).alias(n) for n in counts])) if total else out
+
+
+def verdicts(df: DataFrame, methods: list[str]) -> DataFrame:
+    """How often each method got each verdict, from a column of verdicts for each method."""
+    return df.select(*methods).unpivot([], methods, "method", "verdict").where("verdict is not null").groupBy("method", "verdict").agg(F.count("*").alias("n"))
+
+
+def flag_listed(df: DataFrame, key: str, listed: DataFrame, name: str, yes: str, no: str) -> DataFrame:
+    """df with a column that tells whether the row's key is in a list; equal keys of the list count once."""
+    ids = listed.select(F.col(listed.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct().withColumn("__in", F.lit(True))
+    return df.join(ids, key, "left").withColumn(name, F.when(F.col("__in"), yes).otherwise(no)).drop("__in")
 
 
 def percentages(df: DataFrame, row: str, column: str, digits: int = 4) -> DataFrame:
