@@ -366,9 +366,9 @@ def document_class(spark, d):
 
 
 @_register("""
-    SELECT method, verdict, count(*) AS n FROM (SELECT 'quality' AS method, quality AS verdict FROM labels UNION ALL SELECT 'toxic', toxic FROM labels) GROUP BY ALL""")
+    SELECT method, verdict, count(*) AS n FROM (SELECT 'quality' AS method, quality AS verdict FROM labels UNION ALL SELECT 'toxic', toxic FROM labels) WHERE verdict IS NOT NULL GROUP BY ALL""")
 def verdict_tally(spark, d):
-    return _t(spark, d, "labels").unpivot(["doc_id"], ["quality", "toxic"], "method", "verdict").groupBy("method", "verdict").agg(F.count("*").alias("n"))
+    return metrics.verdicts(_t(spark, d, "labels"), ["quality", "toxic"])
 
 
 # Sampling
@@ -405,9 +405,10 @@ def corrected_sample(spark, d):
     return sampling.sample(_t(spark, d, "customer"), "c_custkey", ["c_mktsegment", "c_nationkey"], sampling.SampleConfig(size=200)).select("c_custkey", "c_mktsegment", "run")
 
 
-@_register("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@_register("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '1-URGENT')")
 def exclusion_anti_join(spark, d):
-    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    done = _t(spark, d, "orders").where("o_orderstatus = 'P' or o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return sampling.without(_t(spark, d, "customer"), "c_custkey", done).select("c_custkey")
 
 
 @_register("SELECT CASE WHEN lang IN ('en', 'de', 'fr') THEN lang ELSE 'others' END AS stratum, count(*) AS n FROM documents GROUP BY 1")
@@ -522,12 +523,12 @@ def json_fields(spark, d):
 
 
 @_register("""
-    SELECT c_custkey, '10.5/' || c_custkey AS doi, ['en', 'fr', 'de', 'it'][c_nationkey % 4 + 1] AS lang, c_custkey % 2 = 0 AS isbn, replace(printf('%.2f', c_acctbal), '.', ',') AS balance,
+    SELECT c_custkey, '10.5/' || c_custkey AS doi, ['en', 'fr', 'English', 'it'][c_nationkey % 4 + 1] AS lang, c_custkey % 2 = 0 AS isbn, replace(printf('%.2f', c_acctbal), '.', ',') AS balance,
            CASE WHEN 7 * c_custkey < 60 THEN 7 * c_custkey || ' s' WHEN 7 * c_custkey < 3600 THEN CAST(round_even(7 * c_custkey / 60, 0) AS INTEGER) || ' min' ELSE round_even(7 * c_custkey / 3600, 1) || ' h' END AS took
     FROM customer""")
 def value_forms(spark, d):
     prefix = F.when(F.col("c_nationkey") % 3 == 0, "https://doi.org/").when(F.col("c_nationkey") % 3 == 1, "doi: ").otherwise("")
-    lang = F.element_at(F.array(*map(F.lit, ("English", "French", "GERMAN", "IT"))), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    lang = F.element_at(F.array(*map(F.lit, ("--", "Fr", "English", "it"))), (F.col("c_nationkey") % 4 + 1).cast("int"))
     number = F.concat(F.lit("978-"), F.lpad(F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 2 == 0, 10).otherwise(8), F.lit("0")))
     return _t(spark, d, "customer").select(
         "c_custkey", vl.bare_doi(F.concat(prefix, F.lit("10.5/"), "c_custkey")).alias("doi"), vl.language_code(lang).alias("lang"), vl.is_isbn(number).alias("isbn"),

@@ -6,9 +6,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from refloom.plans import catalogue
+from refloom.plans import cases, catalogue
 
 SF = Path("/root/testdata/sf0.001")
+QUERIES, ORACLE_SQL = catalogue.QUERIES | cases.QUERIES, catalogue.ORACLE_SQL | cases.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -27,15 +28,15 @@ def plain(v):
     return f"{float(v):.6g}" if hasattr(v, "quantize") else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
-    df = catalogue.QUERIES[name](spark, str(SF))
+    df = QUERIES[name](spark, str(SF))
     cols = sorted(df.columns)
     got = sorted(tuple(plain(r[c]) for c in cols) for r in df.collect())
-    if name not in catalogue.ORACLE_SQL:
+    if name not in ORACLE_SQL:
         assert got
         return
-    res = duck.execute(catalogue.ORACLE_SQL[name])
+    res = duck.execute(ORACLE_SQL[name])
     names = [x[0] for x in res.description]
     assert sorted(names) == cols
     assert got == sorted(tuple(plain(row[names.index(c)]) for c in cols) for row in res.fetchall())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from refloom.operators import convert, linkage, metrics, projection, query, sampling
 from refloom.operators import lines as ln
-from refloom.plans import pipelines
+from refloom.plans import evaluation, pipelines
 from refloom.sources import tables, tei
 from refloom.streaming import documents
 
@@ -114,14 +114,31 @@ def test_metrics(spark):
 def test_lines(spark):
     a = spark.createDataFrame([([1, 2, 3, 4],)], "a array<int>")
     assert a.select(ln.forward_sums(F.col("a"), F.lit(2))).first()[0] == [3, 5, 7, 4]
-    assert ln.check_sequence([0, 0, 1, 9, 1, 2]) == (True, [0, 0, 1, 1, 1, 2])
-    assert ln.check_sequence([0, 5, 7, 9])[0] is False
+    js = spark.createDataFrame([(1, [0, 0, 1, 9, 1, 2]), (2, [0, 5, 7, 9])], "k int, js array<int>").select("k", ln.checked(F.col("js")).alias("r")).orderBy("k").select("r.*").collect()
+    assert tuple(js[0]) == (True, [0, 0, 1, 1, 1, 2]) and js[1]["ordered"] is False
     scores = spark.createDataFrame([("d", 0, 0, 9), ("d", 0, 1, 1), ("d", 1, 0, 3), ("d", 2, 1, 6)], "k string, i int, j int, score int")
     lines = spark.createDataFrame([("d", i, 2) for i in range(4)], "k string, i int, n_refs int")
     assert [r["j"] for r in ln.champions(scores, lines, "k").orderBy("i").collect()] == [0, 0, 1, None]
     assert ln.sequences(ln.champions(scores, lines, "k"), "k").first()["ordered"]
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 9), max_size=40), st.integers(1, 12))
+def test_forward_sums(spark, values, span):
+    df = spark.createDataFrame([(values,)], "a array<int>")
+    sums = F.transform("a", lambda x, i: F.aggregate(F.slice("a", 1, i + 1), F.lit(0).cast("bigint"), lambda acc, y: acc + y))
+    want = [sum(values[k : k + span]) for k in range(len(values))]
+    assert [list(r) for r in df.select(ln.forward_sums(F.col("a"), F.lit(span)), ln.forward_sums(F.col("a"), F.lit(span), sums)).first()] == [want, want]
+
+
+def test_champions_of_many_lines(spark):
+    """More lines than are gathered at once."""
+    n = ln.CHUNK * 2 + 7
+    scores = spark.createDataFrame([("d", i, i // 2, 9) for i in range(n)], "k string, i int, j int, score int")
+    lines = spark.createDataFrame([("d", i, n) for i in range(n)], "k string, i int, n_refs int")
+    assert [(r["i"], r["j"]) for r in ln.champions(scores, lines, "k").orderBy("i").collect()] == [(i, i // 2) for i in range(n)]
+
+
 def test_training_lines(spark):
     text = "Title\nSome prose here\nREFERENCES\nSmith A. Thin films of gold. J Mol 1999; 12: 33-44\nJones B. Silver grains growing. Phys 2001; 3: 1-9\n\nAppendix"
     docs = spark.createDataFrame([("d", text)], "doc_key string, text string")
@@ -157,6 +174,54 @@ def test_sources(spark, tmp_path):
     assert spark.createDataFrame([("<a><b/></a>",)], "x string").select(tei.dialect(tei.root_path(F.col("x")))).first()[0] == "unidentified"
 
 
+def test_sampler_outputs(spark):
+    df = spark.createDataFrame([(f"k{i:02d}", "ab"[i % 2], i) for i in range(10)], "id string, a string, n int")
+    chosen = df.where("n < 4")
+    assert [r["id"] for r in sampling.sample_ids(chosen, "id", ["a"]).collect()] == ["k00", "k02", "k01", "k03"]
+    assert [tuple(r) for r in sampling.sample_table(chosen, "id", ["a"], ["n"]).collect()][0] == ("k00", "a:a", 0)
+    assert [r["xml"] for r in sampling.sample_documents(chosen, "id", ["a"], spark.createDataFrame([("k01", "x"), ("k00", "y")], "id string, xml string")).collect()] == ["y", "x"]
+    assert [r["id"] for r in sampling.limited(df, "id", 3).collect()] == ["k00", "k01", "k02"] and sampling.limited(df, "id", test=True).count() == 3 and sampling.limited(df, "id").count() == 10
+    assert sampling.quota_total(spark.createDataFrame([(2,), (3,)], "quota long")) == 5 and sampling.quota_total(spark.createDataFrame([], "quota long")) == 0
+    with pytest.raises(ValueError, match="combinations"):
+        sampling.BROADCAST_COMBOS, before = 5, sampling.BROADCAST_COMBOS
+        try:
+            sampling.pool(df, ["a", "n"])
+        finally:
+            sampling.BROADCAST_COMBOS = before
+
+
+def test_search_tools(spark):
+    df = spark.createDataFrame([(k, "gold" if k % 3 else "silver", "ab"[k % 2]) for k in range(12)], "id int, title string, kind string")
+    assert query.count(df, "title:gold", {"title": "title"}) == 8
+    assert {r["value"]: r["n"] for r in query.facet(df, "kind", "title:gold", {"title": "title"}).collect()} == {"a": 4, "b": 4}
+    assert query.both("kind:a", None) == "kind:a" and query.both("kind:a", query.corpora_constraint(["x", "y"])) == "(kind:a) AND (refBibsNative:true AND (corpusName:x OR corpusName:y))"
+    assert query.unknown_fields(["kind", "genre"], ["kind", "lang"]) == ["genre"]
+
+
+def test_documents(spark):
+    df = spark.createDataFrame([("a", "<!DOCTYPE x><a/>"), ("b", None), ("c", "<a>\ufffd</a>")], "doc_key string, xml string")
+    assert tei.doctype_counts(df).first().asDict() == {"missing": 1, "undecodable": 1, "no_doctype": 1, "docs": 3}
+    assert [r["doc_key"] for r in tei.listed(df, spark.createDataFrame([(" a ",), ("",), ("z",)], "value string")).collect()] == ["a"]
+    path = spark.createDataFrame([("/x/" + "A1" * 20 + ".tei.xml",)], "p string")
+    assert path.select(tei.document_id(F.col("p"), required=True)).first()[0] == "A1" * 20
+    with pytest.raises(Exception, match="no document id"):
+        spark.createDataFrame([("/x/y.xml",)], "p string").select(tei.document_id(F.col("p"), required=True)).collect()
+    assert spark.range(1).select(tei.raw_text(F.lit("<t>out<p>in &lt;b&gt;</p></t>"), "p")).first()[0] == "in <b>"
+
+
+def test_lines_of_refs(spark):
+    grouped = spark.createDataFrame([("d", 0, "l0"), ("d", 1, "l1"), ("e", 0, "m0")], "k string, j int, lines string")
+    refs = spark.createDataFrame([("d", 0, "r0"), ("d", 1, "r1"), ("e", 0, "s0")], "k string, j int, text string")
+    assert ln.lines_of_refs(grouped, refs, "k").count() == 3 and [tuple(r) for r in ln.lines_of_refs(grouped, refs, "k", parity=True).collect()] == [("d", 0, "l0", "r0")]
+
+
+def test_summary_is_appended(spark, tmp_path):
+    row = spark.createDataFrame([(1, 2, "0.500", "err", 1, 0, 0, 1, "x")], ", ".join(f"{c} string" if c in ("R", "P", "eval_id") else f"{c} int" for c in evaluation.SUMMARY))
+    evaluation.append_summary(row, str(tmp_path / "report"))
+    evaluation.append_summary(row, str(tmp_path / "report"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "report")).collect()] == ["1\t2\t0.500\terr\t1\t0\t0\t1\tx"] * 2
+
+
 def test_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
