@@ -8,20 +8,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from refloom.llm.durable import small_batches
+from refloom.llm.durable import settle, small_batches
 from refloom.llm.words import ALNUM, Words, combine, hash_words, word_chunks
 
 #: Labelled rows that are learnt from, at most (those of the least hash), and distinct features of each, at most that many bytes in all.
 TRAIN_ROWS = 12_000
+#: Bytes of their texts, at most: rows come by their hash until these are spent.
+TRAIN_BYTES = 64 << 20
 BITS = 22
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.15, 1.0, 2.0, 0.5
 THRESHOLD = 0.3
 #: Bytes of a word's start that stand for its stem.
 STEMS = (4, 5)
-_GAP = np.uint64(0x5851F42D4C957F2D)
+_GAP = 0x5851F42D4C957F2D
+
+
+def _times(a: int, b: int) -> np.uint64:
+    """Product modulo 2**64."""
+    return np.uint64(a * b % 2**64)
 
 
 def slots(w: Words) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -32,11 +40,11 @@ def slots(w: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     out = [(np.arange(len(hashes)), (combine([hashes]) >> shift).astype(np.int64))]
     for size in STEMS:
         stem = hash_words(w.data, w.starts, np.minimum(w.ends, w.starts + size))
-        out.append((out[0][0], (combine([stem ^ (_GAP * np.uint64(size + 16))]) >> shift).astype(np.int64)))
+        out.append((out[0][0], (combine([stem ^ _times(_GAP, size + 16)]) >> shift).astype(np.int64)))
     for gap in (1, 2):
         if len(hashes) > gap:
             at = np.flatnonzero(doc[:-gap] == doc[gap:])
-            pair = combine([hashes[at], hashes[at + gap] ^ (_GAP * np.uint64(gap))])
+            pair = combine([hashes[at], hashes[at + gap] ^ _times(_GAP, gap)])
             out.append((at, (pair >> shift).astype(np.int64)))
     return out
 
@@ -85,13 +93,18 @@ def _train(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"slot": np.append(at, -1), "weight": np.append(model.weights(at), model.bias)})
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """(slots, weights, bias) learnt from at most most labelled rows of docs, none of which is held out."""
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> tuple[np.ndarray, np.ndarray, float]:
+    """(slots, weights, bias) learnt from at most most labelled rows of docs, with most_bytes of text, none of which is held out."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     ids = ids.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # The ids are at most most rows of 12 bytes, so they are broadcast at every size.
-    sample = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text").mapInArrow(_features, "doc_id long, toxic int, slots binary")
+    ids = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    sizes = docs.join(ids, "doc_id").groupBy("doc_id", "toxic").agg(F.coalesce(F.max(F.octet_length("text")), F.lit(0)).cast("long").alias("size"))
+    upto = F.sum("size").over(W.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, 0))
+    ids = F.broadcast(settle(sizes.withColumn("upto", upto).where(F.col("upto") <= most_bytes).select("doc_id", "toxic")))
+    # One text of each id, however often that is repeated.
+    texts = docs.join(ids, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = texts.mapInArrow(_features, "doc_id long, toxic int, slots binary")
     got = sample.groupBy(F.lit(0).alias("all")).applyInArrow(_train, "slot long, weight double").toArrow()
     at, weight = got["slot"].to_numpy(), got["weight"].to_numpy()
     if not len(at):
@@ -127,7 +140,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     Only the text is scored: a document's features are the distinct slots of its
     words, their stems, neighbours and pairs with a gap, over the whole text. Labels are learnt only from
     rows whose crc32(doc_id as text) mod 4 is not 2; a doc_id with both labels counts
-    as toxic, one without an id or a label of 0 or 1 isn't learnt from. A null or
+    as toxic, one with several texts has one of them learnt, one without an id or a
+    label of 0 or 1 isn't learnt from. A null or
     empty text scores the rate of toxic rows learnt from; without any labelled text all scores are
     0.5. A null id is not held out. Repeated rows give a row each; other columns are
     not read. The weights are few (L1) and below 2**BITS, whatever the input.
@@ -140,10 +154,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of documents whose text scores below threshold, all columns as they were."""
+    """The rows of documents whose own text scores below threshold, all columns as they were.
+
+    Rows are judged one by one, whatever their ids: repeated rows go or stay together,
+    and null and empty texts score the rate of toxic rows, so they stay below it.
+    Without labelled texts nothing is known of any row, and all stay. Other columns,
+    of any name, are not read.
+    """
     model = train(small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
-    kept = docs.mapInArrow(_below(*model, threshold), docs.schema)
-    return kept
+    if not len(model[0]) and model[2] == 0:
+        return docs
+    return docs.mapInArrow(_below(*model, threshold), docs.schema)
 
 
 def _below(at: np.ndarray, weight: np.ndarray, bias: float, threshold: float):
