@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Callable
+import unicodedata
+from collections.abc import Callable, Iterable
 from functools import cache, reduce
 
 from pyspark.sql import Column
@@ -61,6 +62,17 @@ def merged(steps: list[Step]) -> list[Step]:
     return out
 
 
+def near(characters: Iterable[str], gap: int = 16) -> str:
+    """A pattern for at least the characters, in few ranges, which are faster to test than many single ones."""
+    spans: list[list[int]] = []
+    for c in sorted(map(ord, characters)):
+        if spans and c - spans[-1][1] <= gap:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
 def apply(value: Column, steps: list[Step]) -> Column:
     """The column after the steps. A run of literal steps is skipped for rows that hold none of them."""
     steps, k = merged(steps), 0
@@ -70,7 +82,7 @@ def apply(value: Column, steps: list[Step]) -> Column:
         k += len(run) if len(run) > 2 else 1
         if len(run) > 2:
             done = reduce(lambda v, x: F.replace(v, F.lit(x[1]), F.lit(x[2])), run, value)
-            value = F.when(value.rlike("|".join(re.escape(x[1]) for x in run) if any(len(x[1]) > 1 for x in run) else "[" + "".join(x[1] for x in run) + "]"), done).otherwise(value)
+            value = F.when(value.rlike("|".join(re.escape(x[1]) for x in run) if any(len(x[1]) > 1 for x in run) else near(x[1] for x in run)), done).otherwise(value)
         elif kind == "re":
             value = F.regexp_replace(value, what, by.replace("$", r"\$").replace("\\1", "$1"))
         elif kind == "tr":
@@ -249,11 +261,26 @@ def doc_key(path: Column, extension: str) -> Column:
     return F.when(name.endswith(extension), F.substring(name, F.lit(1), F.length(name) - len(extension))).otherwise(name)
 
 
-def compose_accents(values):
-    """Letters and separate accents joined (NFC), for use in a pandas UDF."""
-    import unicodedata
+# Accents that stand after their letter, as combining characters or with a place of their own, and combining forms of those that don't decompose to one.
+ACCENTS = "\u0300-\u036f`¨¯´¸ˇ˘˙˚\u02db˜˝^\uff3e\uff40\uffe3"
+COMBINING = {"`": "\u0300", "^": "\u0302", "ˇ": "\u030c", "\uff40": "\u0300", "\uff3e": "\u0302", "\uffe3": "\u0304"}
+
 
-    return values.map(lambda x: None if x is None else unicodedata.normalize("NFC", re.sub("(.)([´`¨^~¸])", lambda m: m[1] + {"´": "́", "`": "̀", "¨": "̈", "^": "̂", "~": "̃", "¸": "̧"}[m[2]], x)))
+def _with_accent(letter: str, accent: str) -> str:
+    """One character of both where there is one; an accent without a combining form goes."""
+    apart = unicodedata.normalize("NFKD", accent)
+    mark = apart[1] if len(apart) == 2 and apart[0] == " " else COMBINING.get(accent, accent)
+    return unicodedata.normalize("NFC", letter + mark) if "\u0300" <= mark <= "\u036f" else letter
+
+
+def join_accents(value: str) -> str:
+    """Latin letters and separate accents after them joined."""
+    return re.sub(f"([A-Za-z])([{ACCENTS}])", lambda m: _with_accent(m[1], m[2]), value)
+
+
+def compose_accents(values):
+    """join_accents for a pandas UDF, since no column function normalises Unicode."""
+    return values.map(lambda x: None if x is None else join_accents(x))
 
 
 def any_of(tests: list[Column]) -> Column:

@@ -112,6 +112,13 @@ def with_issn(bibs: DataFrame, abbreviations: DataFrame, title: str = "host_titl
     return keyed.join(one, "__key", "left").drop("__key")
 
 
+def any_cell(rows: DataFrame, value: str, table: DataFrame, cells: list[str], result: str) -> DataFrame:
+    """rows with the result column of the table's row that has the value in any of its cells (the least of several); null where none has."""
+    known = table.select(F.explode(F.array_distinct(F.array(*[F.trim(c) for c in cells]))).alias("__cell"), F.col(result)).where("__cell is not null and __cell <> ''")
+    one = known.groupBy("__cell").agg(F.min(result).alias(result))
+    return rows.withColumn("__cell", F.trim(value)).join(one, "__cell", "left").drop("__cell")
+
+
 def names_aligned(gold: Column, todo: Column) -> Column:
     """How many gold names find a free extracted name that is softly equal, in order."""
     start = F.array().cast("array<int>")

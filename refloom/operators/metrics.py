@@ -84,6 +84,17 @@ def verdicts(df: DataFrame, methods: list[str]) -> DataFrame:
     return df.select(*methods).unpivot([], methods, "method", "verdict").where("verdict is not null").groupBy("method", "verdict").agg(F.count("*").alias("n"))
 
 
+def usable_documents(df: DataFrame, version: str = "pdfver", bad: tuple[str, ...] = ("data", "empty")) -> DataFrame:
+    """Rows whose version is known and none of the bad ones."""
+    return df.where(~F.col(version).isin(*bad))
+
+
+def append_report(df: DataFrame, path: str, digits: int = 2) -> None:
+    """Add rows to a tab-separated report, fractions with a decimal comma."""
+    fractions = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float", "decimal")}
+    df.select(*[decimal_comma(F.col(f"`{c}`"), digits).alias(c) if c in fractions else F.col(f"`{c}`") for c in df.columns]).write.mode("append").option("sep", "\t").csv(path)
+
+
 def flag_listed(df: DataFrame, key: str, listed: DataFrame, name: str, yes: str, no: str) -> DataFrame:
     """df with a column that tells whether the row's key is in a list; equal keys of the list count once."""
     ids = listed.select(F.col(listed.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct().withColumn("__in", F.lit(True))
@@ -159,4 +170,5 @@ def global_counters(rows: DataFrame, alignment: str = "alignment", rule: str = "
 
 
 def decimal_comma(value: Column, digits: int = 2) -> Column:
-    return F.translate(F.format_string(f"%.{digits}f", value), ".", ",")
+    """A number with so many digits after a comma; null stays null."""
+    return F.when(value.isNotNull(), F.translate(F.format_string(f"%.{digits}f", value), ".", ","))

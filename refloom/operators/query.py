@@ -136,8 +136,8 @@ def score(node: Node, fields: dict[str, Column]) -> Column:
             return hit(F.exists(t, lambda x: x.rlike(pattern)) for t in _tokens_of(fields, node.field))
         return hit(F.array_contains(t, term) for t in _tokens_of(fields, node.field))
     if node.kind == "phrase":
-        own = fields.values() if node.field is None else [fields[node.field]] if node.field in fields else []
-        return hit(F.contains(F.concat(F.lit(" "), F.lower(c), F.lit(" ")), F.lit(f" {node.value.lower()} ")) for c in own)
+        wanted = " ".join(re.findall(r"\w+", node.value.lower()))
+        return hit(F.contains(F.concat(F.lit(" "), F.array_join(t, " "), F.lit(" ")), F.lit(f" {wanted} ")) for t in _tokens_of(fields, node.field)) if wanted else hit([])
     if node.kind == "exists":
         return hit([fields[node.field].isNotNull()] if node.field in fields else [])
     if node.kind == "range":

@@ -146,6 +146,25 @@ def comparison_cases(spark, d):
     return rows.select("a", "b", tx.soft_equal(a, b).alias("soft"), tx.archive_equal(a, b).alias("archive"), tx.clean_equal(a, b).alias("clean"))
 
 
+@_expect("a joined", ("e´te", "éte"), ("Mu¨ller", "Müller"), ("c¸a", "ça"), ("Sˇkoda", "Škoda"), ("a^ge", "âge"), ("e\u0301", "é"), ("x¯y", "x\u0304y"), ("1´", "1´"), ("o˝", "ő"))
+def accent_cases(spark, d):
+    rows = _inputs(spark, "a string", *[(x,) for x in ("e´te", "Mu¨ller", "c¸a", "Sˇkoda", "a^ge", "e\u0301", "x¯y", "1´", "o˝")])
+    return rows.select("a", F.pandas_udf(tx.compose_accents, "string")("a").alias("joined"))
+
+
+@_expect("name code", ("France", "FR"), ("FRA", "FR"), (" Deutschland ", "DE"), ("Germany", "DE"), ("Atlantis", None), ("", None), (None, None))
+def any_cell_cases(spark, d):
+    table = spark.createDataFrame([("FR", "FRA", "France", "France"), ("DE", "DEU", "Germany", "Deutschland"), ("XX", None, "", "")], "code string, a3 string, en string, own string")
+    rows = _inputs(spark, "name string", *[(x,) for x in ("France", "FRA", " Deutschland ", "Germany", "Atlantis", "", None)])
+    return linkage.any_cell(rows, "name", table, ["code", "a3", "en", "own"], "code").select("name", "code")
+
+
+@_expect("path simple", ('monogr/imprint/biblScope[@unit="page"]/@from', "monogr/imprint/biblScope"), ('tei:analytic/tei:title[@level="a"]', "analytic/title"), ("note", "note"))
+def simple_path_cases(spark, d):
+    rows = _inputs(spark, "path string", ('monogr/imprint/biblScope[@unit="page"]/@from',), ('tei:analytic/tei:title[@level="a"]',), ("note",))
+    return rows.select("path", tei.simple_path(F.col("path")).alias("simple"))
+
+
 @_expect("k line", (1, "the last and longest line of them"), (2, "one"), (3, "bb"), (4, ""))
 def error_line_cases(spark, d):
     rows = _inputs(spark, "message string", ("first\nsecond line\nthe last and longest line of them",), ("one",), ("aa\nbb",), ("",))
@@ -249,6 +268,57 @@ def match_rule_cases(spark, d):
     return linkage.align(*frames).select(F.col("g").cast("int").alias("g"), F.col("t").cast("int").alias("t"), "alignment", "rule")
 
 
+# Publishers' XML
+
+
+@_expect(
+    "k publisher dialect",
+    (1, "nlm", "nlm"), (2, "elsevier", "elsevier"), (3, "elsevier", "elsevier"), (4, "scholarone", "nlm"), (5, "springer2", "springer"), (6, "springer3", "springer"), (7, "springer-chapter", "springer"), (8, "rsc", "nlm"), (9, "nature", "nature"), (10, "wiley", "wiley"), (11, "iop", "iop"), (12, "unidentified", None),
+    (13, "bmj", "nlm"), (14, "nihms", None), (15, "nlm2", "nlm"), (16, "sage", "nlm"), (17, "edps", None), (18, "edps-backfile", None), (19, "unidentified", None), (20, "unidentified", None), (21, "unidentified", None),
+)
+def publisher_cases(spark, d):
+    docs = (
+        "<?xml version='1.0'?><!DOCTYPE article SYSTEM 'x.dtd'><article><front/></article>", "<els:article xmlns:els='e'><els:item-info/></els:article>", "<converted-article><item-info/></converted-article>", "<article_set/>", "<Article><ArticleInfo/></Article>", "<Publisher><PublisherInfo/><Journal/></Publisher>",
+        "<Publisher><PublisherInfo/><Series><Book><Chapter ID='1'/></Book></Series></Publisher>", "<article><art-admin/></article>", "<headerx><pubfm><cpg><cpn>Macmillan Ltd</cpn></cpg></pubfm></headerx>", "<component xmlns='w' type='serialArticle'><header/></component>",
+        "<article><article-metadata><article-data><copyright>2001 IOP Ltd</copyright><article-type sort='regular'/></article-data></article-metadata></article>", "<article><article-metadata><article-data><copyright>Other</copyright><article-type sort='regular'/></article-data></article-metadata></article>",
+        "<metadata/>", "<nihms-submit/>", "<ArticleSet/>", "<SAGEmeta/>", "<EDPSArticle/>", "<edp-article/>", "<article><body/></article>", "", None,
+    )
+    rows = _inputs(spark, "xml string", *[(x,) for x in docs])
+    return convert.with_dialect(rows).select("k", "publisher", "dialect")
+
+
+_ELS = "<ce:bib-reference id='r{0}'><ce:label>[{0}]</ce:label><sb:reference><sb:contribution><sb:authors><sb:author><ce:surname>Roe</ce:surname></sb:author></sb:authors><sb:title><sb:maintitle>Part</sb:maintitle></sb:title></sb:contribution><sb:host>{1}</sb:host></sb:reference></ce:bib-reference>"
+_T = "<sb:title><sb:maintitle>{0}</sb:maintitle></sb:title>"
+
+
+@_expect(
+    "doc n label type structured tit m j s date vol fpg psher names text analytic",
+    ("els", 0, "[0]", "article", True, "Part", None, "J Phys", None, "1999", "7", "11", None, "Roe", None, True), ("els", 1, "[1]", "book", True, None, "Part", None, None, "2001", None, None, "Pub", "Roe", None, True), ("els", 2, "[2]", "book", True, "Part", "Whole", None, "Series", "2002", None, None, None, "Roe", None, True),
+    ("els", 3, "[3]", "book", True, "Part", "Series", None, None, None, None, None, None, "Roe", None, True), ("els", 4, "[4]", "book", True, "Part", "Whole", None, None, "2004", None, None, None, "Roe", None, True), ("els", 5, "[5]", None, False, None, None, None, None, None, None, None, None, "", "[5] Private note, 1999", None),
+    ("spr", 0, None, "article", True, "Art", None, "J", None, "1998", "2", "5", None, "Doe Poe", None, True), ("spr", 1, None, "inBook", True, "Chap", None, None, None, "1997", None, None, None, "", None, True), ("spr", 2, None, "book", True, None, "Book", None, None, "1996", None, None, "House", "", None, False), ("spr", 3, None, None, False, None, None, None, None, None, None, None, None, "", "Some words & more", None),
+    ("iop", 0, "1", "article", True, "Art", None, "J", None, "1995", "3", None, None, "Coe", None, True), ("iop", 1, "2", "book", True, "Chap", "Book", None, None, "1994", None, None, "House", "Coe", None, True), ("iop", 2, "3", "book", True, None, "Book", None, None, "1993", None, None, None, "", None, False), ("iop", 3, "4", "conf", True, "Talk", "Proc. Conf", None, None, "1992", None, None, None, "", None, True),
+    ("iop", 4, "5", "thesis", True, None, "PhD", None, None, "1991", None, None, None, "", None, False), ("iop", 5, "6", "patent", True, None, "X", None, None, None, None, None, None, "", None, False), ("iop", 6, "7", "report", True, None, "Annual Report", None, None, None, None, None, None, "", None, False), ("iop", 7, "8", "misc", True, None, "Y", None, None, None, None, None, None, "", None, False),
+    ("nlm", 0, None, "article", True, "Art", None, "J", None, "1990", "4", "9", None, "Moe", None, True), ("nlm", 1, None, "inproceedings", True, "Talk", None, "Proc", None, "1989", None, None, None, "", None, True), ("nlm", 2, None, "book", True, None, None, "Tome", None, "1988", None, None, "House", "Moe", None, False), ("nlm", 3, None, None, False, None, None, None, None, None, None, None, None, "", "As is.", None),
+    ("nat", 0, None, None, True, "Art", None, "J", None, "1987", "5", "6", None, "Zoe", None, True), ("wil", 0, None, "article", True, "Art", None, "J", None, "1986", "6", "7", None, "Joe", None, True), ("wil", 1, None, "inBook", True, "Chap", "Book", None, None, "1985", None, None, "House", "", None, True), ("wil", 2, None, "book", True, None, "Book", None, None, None, None, None, None, "", None, False), ("wil", 3, None, None, False, None, None, None, None, None, None, None, None, "", "Loose", None),
+)
+def conversion_cases(spark, d):
+    els = (
+        "<sb:issue><sb:series>" + _T.format("J Phys") + "<sb:volume-nr>7</sb:volume-nr></sb:series><sb:date>1999</sb:date></sb:issue><sb:pages><sb:first-page>11</sb:first-page></sb:pages>", "<sb:book><sb:date>2001</sb:date><sb:publisher><sb:name>Pub</sb:name></sb:publisher></sb:book>",
+        "<sb:edited-book>" + _T.format("Whole") + "<sb:book-series><sb:series>" + _T.format("Series") + "</sb:series></sb:book-series><sb:date>2002</sb:date></sb:edited-book>", "<sb:edited-book><sb:book-series><sb:series>" + _T.format("Series") + "</sb:series></sb:book-series></sb:edited-book>", _T.format("Whole") + "<sb:book><sb:date>2004</sb:date></sb:book>",
+    )
+    docs = [
+        ("els", "elsevier", "".join(_ELS.format(k, x) for k, x in enumerate(els)) + "<ce:bib-reference id='r5'><ce:label>[5]</ce:label> <ce:other-ref><ce:textref>Private note, 1999</ce:textref></ce:other-ref></ce:bib-reference>"),
+        ("spr", "springer", "<Citation><CitationNumber>1.</CitationNumber><BibArticle><BibAuthorName><FamilyName>Doe</FamilyName></BibAuthorName><BibAuthorName><FamilyName>Poe</FamilyName></BibAuthorName><Year>1998</Year><ArticleTitle>Art</ArticleTitle><JournalTitle>J</JournalTitle><VolumeID>2</VolumeID><FirstPage>5</FirstPage></BibArticle><BibChapter><Year>1997</Year><ChapterTitle>Chap</ChapterTitle></BibChapter></Citation><Citation><BibBook><Year>1996</Year><BookTitle>Book</BookTitle><PublisherName>House</PublisherName></BibBook><BibUnstructured>Some <b>words</b> &amp; more</BibUnstructured></Citation>"),
+        ("iop", "iop", "<reference-list><journal-ref num='1'><authors><author><second-name>Coe</second-name></author></authors><art-title>Art</art-title><jnl-title>J</jnl-title><year>1995</year><volume>3</volume><pages>1-2</pages></journal-ref><multipart><book-ref num='2'><authors><author><second-name>Coe</second-name></author></authors><art-title>Chap</art-title><book-title>Book</book-title><year>1994</year><publication><publisher>House</publisher></publication></book-ref><multipart><book-ref num='3'><book-title>Book</book-title><year>1993</year></book-ref></multipart></multipart><conf-ref num='4'><art-title>Talk</art-title><conf-title>Proc. Conf</conf-title><year>1992</year></conf-ref><misc-ref num='5'><thesis/><misc-title>PhD</misc-title><year>1991</year></misc-ref><misc-ref num='6'><misc-title>X</misc-title><misc-text>PAT 5</misc-text></misc-ref><misc-ref num='7'><misc-title>Annual Report</misc-title></misc-ref><misc-ref num='8'><misc-title>Y</misc-title></misc-ref></reference-list>"),
+        ("nlm", "nlm", "<ref-list><ref id='a'><citation citation-type='journal'><person-group><name><surname>Moe</surname></name></person-group><article-title>Art</article-title><source>J</source><year>1990</year><volume>4</volume><fpage>9</fpage></citation></ref><ref><element-citation publication-type='confproc'><article-title>Talk</article-title><source>Proc</source><year>1989</year></element-citation></ref><ref><citation citation-type='book'><person-group><name><surname>Moe</surname></name></person-group><source>Tome</source><year>1988</year><publisher-name>House</publisher-name></citation></ref><ref><mixed-citation>As <i>is</i>.</mixed-citation></ref></ref-list>"),
+        ("nat", "nature", "<bib><refau><snm>Zoe</snm></refau><atl>Art</atl><jtl>J</jtl><cd>1987</cd><vid>5</vid><ppf>6</ppf></bib><bib><broken></bib>"),
+        ("wil", "wiley", "<citation type='journal'><author><familyName>Joe</familyName></author><articleTitle>Art</articleTitle><journalTitle>J</journalTitle><pubYear>1986</pubYear><vol>6</vol><pageFirst>7</pageFirst></citation><citation type='book'><chapterTitle>Chap</chapterTitle><bookTitle>Book</bookTitle><pubYear>1985</pubYear><publisherName>House</publisherName></citation><citation type='book'><bookTitle>Book</bookTitle></citation><citation type='other'>Loose</citation>"),
+        ("none", None, "<bib><atl>x</atl></bib>"),
+    ]
+    rows = convert.convert(spark.createDataFrame(docs, "doc string, dialect string, xml string").withColumnRenamed("doc", "doc_key"))
+    return rows.select(F.col("doc_key").alias("doc"), "n", "label", "type", "structured", "tit", "m", "j", "s", "date", "vol", "fpg", "psher", F.array_join("names", " ").alias("names"), "text", F.col("has_analytic").alias("analytic"))
+
+
 # Queries
 
 

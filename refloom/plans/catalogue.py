@@ -133,7 +133,7 @@ def search_must(spark, d):
 
 
 @_register("""
-    WITH s AS (SELECT doc_id, (len(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda t: t = 'pathetic')) > 0)::INT + contains(' ' || lower(text) || ' ', ' of the ')::INT
+    WITH s AS (SELECT doc_id, (len(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda t: t = 'pathetic')) > 0)::INT + contains(' ' || array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), ' ') || ' ', ' of the ')::INT
         + (len(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), lambda t: starts_with(t, 'lowei'))) > 0)::INT + (lang = 'de')::INT AS score FROM documents)
     SELECT doc_id, score FROM s WHERE score > 0""".replace("\\\\", "\\"))
 def search_should(spark, d):
@@ -178,6 +178,15 @@ def strategy_queries(spark, d):
     return query.build_queries(per, "any_token").withColumnRenamed("query", "q")
 
 
+#: A reference of each dialect, with places for title, journal, year and volume.
+_RECORDS = {
+    "nlm": '<ref><citation citation-type="journal"><article-title>@</article-title><source> @</source><year>@</year><volume>@</volume></citation></ref>',
+    "elsevier": "<ce:bib-reference><sb:reference><sb:contribution><sb:title><sb:maintitle>@</sb:maintitle></sb:title></sb:contribution><sb:host><sb:issue><sb:series><sb:title><sb:maintitle> @</sb:maintitle></sb:title></sb:series><sb:date>@</sb:date><sb:series><sb:volume-nr>@</sb:volume-nr></sb:series></sb:issue></sb:host></sb:reference></ce:bib-reference>",
+    "springer": "<BibArticle><ArticleTitle>@</ArticleTitle><JournalTitle> @</JournalTitle><Year>@</Year><VolumeID>@</VolumeID></BibArticle>",
+    "nature": "<bib><atl>@</atl><jtl> @</jtl><cd>@</cd><vid>@</vid></bib>",
+    "wiley": '<citation type="journal"><articleTitle>@</articleTitle><journalTitle> @</journalTitle><pubYear>@</pubYear><vol>@</vol></citation>',
+    "iop": "<journal-ref><art-title>@</art-title><jnl-title> @</jnl-title><year>@</year><volume>@</volume></journal-ref>",
+}
 _DIALECT = {"ECONOMY": "nlm", "STANDARD": "elsevier", "PROMO": "springer", "MEDIUM": "nature", "LARGE": "wiley", "SMALL": "iop"}
 
 
@@ -188,8 +197,8 @@ def convert_dialects(spark, d):
     p = _t(spark, d, "part")
     kind, xml = F.lit(None).cast("string"), F.lit(None).cast("string")
     for value, dialect in _DIALECT.items():
-        rules, box = convert.RULES[dialect], convert.CONTAINERS[dialect][0]
-        x = F.concat(F.lit(f"<{box}><{rules['tit'][0]}>"), F.col("p_name"), F.lit(f"</{rules['tit'][0]}><{rules['j'][0]}> "), F.col("p_brand"), F.lit(f"</{rules['j'][0]}><{rules['date'][0]}>"), F.col("p_size") + 1900, F.lit(f"</{rules['date'][0]}><{rules['vol'][0]}>"), F.col("p_size"), F.lit(f"</{rules['vol'][0]}></{box}>"))
+        pieces = F.split(F.lit(_RECORDS[dialect]), "@")
+        x = F.concat(pieces[0], F.col("p_name"), pieces[1], F.col("p_brand"), pieces[2], (F.col("p_size") + 1900).cast("string"), pieces[3], F.col("p_size").cast("string"), pieces[4])
         kind, xml = F.when(F.col("p_type") == value, dialect).otherwise(kind), F.when(F.col("p_type") == value, x).otherwise(xml)
     return convert.convert(p.select(F.col("p_partkey").alias("doc_key"), kind.alias("dialect"), xml.alias("xml"))).select("doc_key", "dialect", "tit", "j", "date", "when", "vol")
 

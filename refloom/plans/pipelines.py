@@ -1,4 +1,4 @@
-"""The three end-to-end jobs: linking, evaluation, and training data."""
+"""End-to-end jobs: linking, evaluation, conversion, and training data."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refloom.operators import lines as ln
-from refloom.operators import linkage, metrics, projection, query
+from refloom.operators import convert, linkage, metrics, projection, query
 from refloom.sources import tables, tei
 
 
@@ -47,3 +47,53 @@ def training_lines(docs: DataFrame, refs: DataFrame, key: str = "doc_key") -> Da
     inside = marked.where("zone = 'listBibl'")
     champs = ln.champions(ln.cooccurrence(inside, refs, key), inside.join(counts, key), key)
     return marked.join(champs, [key, "i"], "left")
+
+
+def convert_corpus(docs: DataFrame) -> DataFrame:
+    """doc_key and xml: a document with the converted references of each publisher's document for which there are rules."""
+    bibs = convert.to_tei(convert.convert(convert.with_dialect(docs)))
+    per = bibs.groupBy("doc_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "bib"))), lambda x: x["bib"]), "").alias("bibs"))
+    return per.select("doc_key", F.concat(F.lit("<TEI><text><back><div><listBibl>"), "bibs", F.lit("</listBibl></div></back></text></TEI>")).alias("xml"))
+
+
+def _joined(rows: DataFrame, key: str, order: str, text, between: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text.alias("__x")))), lambda x: x["__x"]), between).alias("text"))
+
+
+def _listed(rows: DataFrame, key: str, order: str, text) -> DataFrame:
+    return _joined(rows, key, order, text, "\n").withColumn("text", F.concat(F.lit("<listBibl>\n"), "text", F.lit("\n</listBibl>")))
+
+
+def zone_file(marked: DataFrame, key: str = "doc_key") -> DataFrame:
+    """key and text: a document's lines in order, those of the reference zone in a list."""
+    ends = marked.where("zone = 'listBibl'").groupBy(key).agg(F.min("i").alias("__a"), F.max("i").alias("__b"))
+    line = F.concat(F.when(F.col("i") == F.col("__a"), "<listBibl>").otherwise(""), tei.escape(F.col("line")), F.when(F.col("i") == F.col("__b"), "</listBibl>").otherwise(""))
+    return _joined(marked.join(ends, key, "left"), key, "i", F.coalesce(line, tei.escape(F.col("line"))), "<lb/>\n").withColumn("text", F.concat(F.lit("<text>"), "text", F.lit("</text>")))
+
+
+def line_file(marked: DataFrame, key: str = "doc_key") -> DataFrame:
+    """key and text: the lines of each reference, in the order of the references."""
+    groups = ln.group_lines(marked.where("j is not null").withColumn("line", tei.escape(F.col("line"))), [key, "j"], "i", "line", "<lb/>")
+    return _listed(groups, key, "j", F.concat(F.lit("<bibl>"), "text", F.lit("</bibl>")))
+
+
+def field_file(tagged: DataFrame, key: str = "doc_key") -> DataFrame:
+    """key and text: each reference with its fields tagged."""
+    return _listed(tagged, key, "j", F.concat(F.lit("<bibl>"), "tagged", F.lit("</bibl>")))
+
+
+def name_file(tagged: DataFrame, key: str = "doc_key") -> DataFrame:
+    """key and text: the names of each reference that has any."""
+    names = F.array_join(F.regexp_extract_all("tagged", F.lit("(<author>.*?</author>)"), 1), "")
+    return _listed(tagged.withColumn("__n", names).where("__n <> ''"), key, "j", F.col("__n"))
+
+
+#: What each model is trained on.
+MODELS = {"zone": zone_file, "lines": line_file, "fields": field_file, "names": name_file}
+
+
+def training_file(model: str, rows: DataFrame, key: str = "doc_key") -> DataFrame:
+    """key and text of the training file of each document for a model."""
+    if model not in MODELS:
+        raise ValueError(f"models are {', '.join(MODELS)}")
+    return MODELS[model](rows, key)

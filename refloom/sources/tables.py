@@ -27,9 +27,18 @@ def write_table(df: DataFrame, path: str, null: str = NULL_TOKEN) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", null).option("emptyValue", "").csv(path)
 
 
+# The form of an abbreviation's row, and of a document's id.
+ABBREVIATION_ROW, ID_ROW = r"^[0-9]{4}-[0-9Xx]{4}\t[\w ]+$", "^[0-9A-F]{40}$"
+
+
+def rejected(rows: DataFrame, pattern: str, value: str = "value") -> DataFrame:
+    """bad and n: lines that aren't of the form, for a warning."""
+    return rows.where(F.col(value).isNotNull() & ~F.col(value).rlike(pattern)).groupBy(F.col(value).alias("bad")).agg(F.count("*").alias("n"))
+
+
 def abbreviations(spark: SparkSession, path: str) -> DataFrame:
-    """issn and key of each well-formed row (issn, tab, words); other rows are skipped."""
-    rows = spark.read.text(path).where(F.col("value").rlike(r"^[0-9]{4}-[0-9Xx]{4}\t[\w ]+$"))
+    """issn and key of each well-formed row (issn, tab, words); rejected tells the others."""
+    rows = spark.read.text(path).where(F.col("value").rlike(ABBREVIATION_ROW))
     parts = F.split("value", "\t")
     return rows.select(parts[0].alias("issn"), F.lower(parts[1]).alias("key"))
 
@@ -40,9 +49,12 @@ def abbreviation_key(title: Column, trim: bool = True) -> Column:
     return F.trim(key) if trim else key
 
 
-def id_list(spark: SparkSession, path: str, pattern: str = "^[0-9A-F]{40}$") -> DataFrame:
-    """Valid ids, one a line."""
-    return spark.read.text(path).select(F.trim("value").alias("id")).where(F.col("id").rlike(pattern))
+def id_list(spark: SparkSession, path: str, pattern: str = ID_ROW, strict: bool = False) -> DataFrame:
+    """Valid ids, one a line; with strict a line that isn't one is an error, else rejected tells them."""
+    rows = spark.read.text(path).select(F.trim("value").alias("id"))
+    if strict:
+        return rows.withColumn("id", F.when(F.col("id").rlike(pattern), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("no id: "), "id")).cast("string")))
+    return rows.where(F.col("id").rlike(pattern))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -76,6 +88,30 @@ def manifest(files: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.join(files, ["corpus", "shelf", "basename"], "left").withColumn("present", F.col("path").isNotNull())
 
 
+def shelves_of_files(files: DataFrame, shelves: dict[str, tuple[str, str]]) -> DataFrame:
+    """corpus, shelf, basename and path of each file that lies in a shelf's folder with its extension: a manifest made anew from a listing (path)."""
+    parts = F.split("path", "/")
+    name, folder, corpus = (F.element_at(parts, -k) for k in (1, 2, 3))
+    out = None
+    for shelf, (place, extension) in shelves.items():
+        found = files.where((folder == place) & name.endswith(extension)).select(corpus.alias("corpus"), F.lit(shelf).alias("shelf"), F.substring(name, F.lit(1), F.length(name) - len(extension)).alias("basename"), "path")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def overridden(base: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both; where extra has a key, its row stands for base's."""
+    return base.join(extra.select(*keys).distinct(), keys, "left_anti").select(*base.columns).unionByName(extra.select(*base.columns))
+
+
+def write_corpus(manifest: DataFrame, infos: DataFrame, path: str) -> None:
+    """What describes a corpus, as tables under path: infos, basenames, flags (which shelves are there) and map (where each file is)."""
+    infos.write.mode("overwrite").parquet(f"{path}/infos")
+    manifest.select("basename").distinct().write.mode("overwrite").parquet(f"{path}/basenames")
+    manifest.groupBy("corpus", "shelf").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/flags")
+    manifest.write.mode("overwrite").parquet(f"{path}/map")
+
+
 def basename(corpus: str = "corpus", record: str = "record_id") -> Column:
     return F.concat_ws("-", F.col(corpus), F.col(record))
 

@@ -48,9 +48,6 @@ UNKNOWN_FIELD = "_CHAMP_INCONNU_"
 NUMERIC = ("publicationDate", "host.volume", "host.issue", "host.pages.first", "host.pages.last")
 _BIB = r"(?s)(<biblStruct\b[^>]*/>|<biblStruct\b.*?</biblStruct>)"
 
-# The element that tells a publisher's dialect.
-DIALECTS = (("article/front|article/front-matter", "nlm"), ("converted-article|article/item-info", "elsevier"), ("Publisher|A++Article", "springer"), ("article/article-metadata", "iop"), ("article/pubfm|headerx", "nature"), ("component/header", "wiley"), ("SAGEmeta", "sage"), ("article/art-admin", "rsc"), ("edp-article", "edp"))
-
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*.tei.xml") -> DataFrame:
     """doc_key, path and xml of each file, doctype removed."""
@@ -184,6 +181,16 @@ def subvalues(bibs: DataFrame, every: bool = False) -> DataFrame:
     return rows if every else rows.where(F.col("field") != UNKNOWN_FIELD)
 
 
+def simple_path(path: Column) -> Column:
+    """A path without attributes and namespaces."""
+    return F.regexp_replace(F.regexp_replace(path, r"\[@[^\]]*\]|/@.*$", ""), r"(^|/)[^/:]*:", "$1")
+
+
+def dates_without_when(rows: DataFrame) -> DataFrame:
+    """doc_key, bib_id and path of the dates that have a text but no @when."""
+    return rows.where(F.col("path").rlike(r"(^|/)date[^/]*$")).select("doc_key", "bib_id", "path")
+
+
 def unknown_paths(rows: DataFrame) -> DataFrame:
     """Paths that feed no field, and how often they occur: what a warning would say of each."""
     return rows.where(F.col("field") == UNKNOWN_FIELD).groupBy("path").agg(F.count("*").alias("n"))
@@ -232,14 +239,6 @@ def canonical_fields(bibs: DataFrame) -> DataFrame:
     })
 
 
-def dialect(root_path: Column) -> Column:
-    """Publisher dialect from a document's root path (root/first child), else unidentified."""
-    out = F.lit("unidentified")
-    for names, name in reversed(DIALECTS):
-        out = F.when(tx.any_of([root_path.startswith(n) for n in names.split("|")]), F.lit(name)).otherwise(out)
-    return out
-
-
 def root_path(xml: Column) -> Column:
     """The names of the root and of its first child, by /."""
     names = F.regexp_extract_all(F.regexp_replace(xml, r"(?s)<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>", ""), F.lit(r"<([A-Za-z][\w.+:-]*)"), 1)

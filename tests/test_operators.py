@@ -171,7 +171,7 @@ def test_sources(spark, tmp_path):
     assert {r["combo"]: r["n"] for r in tables.read_pool(spark, str(tmp_path / "p.json")).collect()} == {"a:1": 3, "a:2": 0}
     links = spark.createDataFrame([("x", 3), ("x", 3), ("y", None), ("z", 0)], "basename string, size int")
     assert sorted(str(r["skip"]) for r in tables.dataset_links(links).collect()) == ["None", "absent", "duplicate", "empty"]
-    assert spark.createDataFrame([("<a><b/></a>",)], "x string").select(tei.dialect(tei.root_path(F.col("x")))).first()[0] == "unidentified"
+    assert spark.createDataFrame([("<a><b/></a>",)], "x string").select(convert.publisher(F.col("x")), tei.root_path(F.col("x"))).first()[:] == ("unidentified", "a/b")
 
 
 def test_sampler_outputs(spark):
@@ -222,6 +222,57 @@ def test_summary_is_appended(spark, tmp_path):
     assert [r["value"] for r in spark.read.text(str(tmp_path / "report")).collect()] == ["1\t2\t0.500\terr\t1\t0\t0\t1\tx"] * 2
 
 
+def test_training_files(spark):
+    rows = [("d", 0, "Title", "body", None), ("d", 1, "REFERENCES", "listBibl", None), ("d", 2, "1. Smith A & B", "listBibl", 0), ("d", 3, "Thin films 1999", "listBibl", 0), ("d", 4, "2. Jones", "listBibl", 1), ("d", 5, "end", "end", None)]
+    marked = spark.createDataFrame(rows, "doc_key string, i int, line string, zone string, j int")
+    text = lambda df: df.first()["text"]
+    assert text(pipelines.training_file("zone", marked)) == "<text>Title<lb/>\n<listBibl>REFERENCES<lb/>\n1. Smith A &amp; B<lb/>\nThin films 1999<lb/>\n2. Jones</listBibl><lb/>\nend</text>"
+    assert text(pipelines.training_file("lines", marked)) == "<listBibl>\n<bibl>1. Smith A &amp; B<lb/>Thin films 1999</bibl>\n<bibl>2. Jones</bibl>\n</listBibl>"
+    tagged = spark.createDataFrame([("d", 1, "<author>Jones</author> x"), ("d", 0, "<author>Smith</author>, <author>Roe</author> <date>1999</date>")], "doc_key string, j int, tagged string")
+    assert text(pipelines.training_file("fields", tagged)) == "<listBibl>\n<bibl><author>Smith</author>, <author>Roe</author> <date>1999</date></bibl>\n<bibl><author>Jones</author> x</bibl>\n</listBibl>"
+    assert text(pipelines.training_file("names", tagged)) == "<listBibl>\n<author>Smith</author><author>Roe</author>\n<author>Jones</author>\n</listBibl>"
+    with pytest.raises(ValueError, match="zone, lines, fields, names"):
+        pipelines.training_file("other", marked)
+
+
+def test_reports(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0.256, 3), ("b", None, 4)], "k string, r double, n int").coalesce(1)
+    metrics.append_report(rows, str(tmp_path / "report"))
+    metrics.append_report(rows.limit(1), str(tmp_path / "report"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "report")).collect()) == ["a\t0,26\t3", "a\t0,26\t3", "b\t\t4"]
+    docs = spark.createDataFrame([("1.4",), ("data",), ("empty",), (None,)], "pdfver string")
+    assert [r[0] for r in metrics.usable_documents(docs).collect()] == ["1.4"]
+
+
+def test_corpora(spark, tmp_path):
+    files = spark.createDataFrame([("/data/c1/A-pdfs/x.pdf",), ("/data/c1/B-xmlnatifs/x.xml",), ("/data/c1/B-xmlnatifs/y.xml",), ("/data/c1/other/z.txt",)], "path string")
+    shelves = {"PDF0": ("A-pdfs", ".pdf"), "XMLN": ("B-xmlnatifs", ".xml")}
+    found = tables.shelves_of_files(files, shelves)
+    assert sorted(tuple(r) for r in found.select("corpus", "shelf", "basename").collect()) == [("c1", "PDF0", "x"), ("c1", "XMLN", "x"), ("c1", "XMLN", "y")]
+    base, extra = spark.createDataFrame([("PDF0", "a"), ("XMLN", "b")], "shelf string, dir string"), spark.createDataFrame([("XMLN", "c"), ("TEI", "d")], "shelf string, dir string")
+    assert sorted(tuple(r) for r in tables.overridden(base, extra, ["shelf"]).collect()) == [("PDF0", "a"), ("TEI", "d"), ("XMLN", "c")]
+    tables.write_corpus(found, spark.createDataFrame([("c1", "gold")], "corpus string, kind string"), str(tmp_path / "corpus"))
+    assert sorted(r["basename"] for r in spark.read.parquet(str(tmp_path / "corpus" / "basenames")).collect()) == ["x", "y"] and spark.read.parquet(str(tmp_path / "corpus" / "flags")).count() == 2
+    assert {r["bad"] for r in tables.rejected(spark.createDataFrame([("0022-2836\tJ Mol",), ("bad row",), ("",)], "value string"), tables.ABBREVIATION_ROW).collect()} == {"bad row", ""}
+
+
+def test_jobs(spark, tmp_path, capsys):
+    from refloom import __main__ as cli
+
+    docs = [("d1", "<article><front/><ref-list><ref id='a'><citation citation-type='journal'><article-title>Gold films</article-title><source>J Phys</source><year>1999</year></citation></ref></ref-list></article>"), ("d2", "<x/>")]
+    spark.createDataFrame(docs, "doc_key string, xml string").write.parquet(str(tmp_path / "docs"))
+    cli.main(["convert", "--docs", str(tmp_path / "docs"), "--out", str(tmp_path / "tei")])
+    out = {r["doc_key"]: r["xml"] for r in spark.read.parquet(str(tmp_path / "tei")).collect()}
+    assert set(out) == {"d1"} and tei.references(spark.createDataFrame(list(out.items()), "doc_key string, xml string")).count() == 1 and "Gold films" in out["d1"]
+    cli.main(["evaluate", "--gold", str(tmp_path / "tei"), "--todo", str(tmp_path / "tei"), "--out", str(tmp_path / "eval"), "--id", "self"])
+    # Its date is text only, which evaluation doesn't compare, so the reference isn't found again.
+    assert sorted(r["match"] for r in spark.read.parquet(str(tmp_path / "eval" / "table")).collect()) == ["bruit", "silence"] and spark.read.text(str(tmp_path / "eval" / "report")).first()["value"].endswith("self")
+    cli.main(["sample", "--docs", str(tmp_path / "docs"), "--key", "doc_key", "--criteria", "xml", "--size", "1", "--out", str(tmp_path / "sample")])
+    assert spark.read.parquet(str(tmp_path / "sample" / "ids")).count() == 1
+    with pytest.raises(SystemExit):
+        cli.main(["unknown"])
+
+
 def test_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
