@@ -22,6 +22,8 @@ TRAIN_ROWS = 20_000
 #: Rows that are scored at once.
 SCORE_ROWS = 2048
 SCHEMA = "page_id long, host string, path string, rule string, score double"
+#: Folds of the labelled URLs; a training row's counts are those of the other folds.
+FOLDS = 5
 TREES, DEPTH, RATE, BINS, LEAST_LEAF = 40, 3, 0.3, 32, 20
 #: What labels are counted by, over all labelled URLs, and keys that are broadcast at most; tables of more are joined by a shuffle.
 KINDS = ("suffix", "domain", "segment")
@@ -54,7 +56,7 @@ def _entropy(text: str) -> float:
 
 
 def features(urls: list[str], hosts: list[str], paths: list[str], rows: np.ndarray, blocked: np.ndarray) -> np.ndarray:
-    """A row of FEATURES for each URL; rows and blocked count the labelled URLs of its KINDS, without itself."""
+    """A row of FEATURES for each URL; rows and blocked count labelled URLs of its KINDS."""
     out = np.zeros((len(urls), len(FEATURES)))
     for k, (url, host, path) in enumerate(zip(urls, hosts, paths, strict=True)):
         digits = sum(map(url.count, "0123456789"))
@@ -157,13 +159,23 @@ def _score(model: Trees | None):
 
 
 def fit(labelled: DataFrame, most: int = TRAIN_ROWS) -> Trees | None:
-    """Trees learnt from at most most of the labelled URLs, each beside the counts of all others; None without both labels."""
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(most)
-    known = _with_counts(sample, labelled).orderBy("url").toArrow()
+    """Trees learnt from at most most of the labelled URLs, each beside the counts of all others outside its own of FOLDS folds; None without both labels.
+
+    Counts without the URL alone would tell its label: they are lower for the blocked
+    ones of a kind than for the others.
+    """
+    fold = (F.crc32(F.col("url").cast("binary")) % FOLDS).alias("fold")
+    sample = settle(labelled.orderBy(F.xxhash64("url"), "url").limit(most).select("*", fold))
+    known = _with_counts(sample, labelled)
+    for kind in KINDS:
+        # The sample is of a bounded size, so its keys are broadcast at every size.
+        own = labelled.select(kind, "y", fold).join(F.broadcast(sample.select(kind, "fold").distinct()), [kind, "fold"], "left_semi")
+        known = known.join(own.groupBy(kind, "fold").agg(F.count("*").alias(f"own_n_{kind}"), F.sum("y").alias(f"own_b_{kind}")), [kind, "fold"], "left")
+    known = known.orderBy("url").toArrow()
     y = known["y"].to_numpy().astype(float)
     if not 0 < y.sum() < len(y):
         return None
-    rows, blocked = _counts(known, "n") - 1, _counts(known, "b") - y[:, None]
+    rows, blocked = (_counts(known, c) - _counts(known, f"own_{c}") for c in "nb")
     return Trees(features(known["url"].to_pylist(), known["host"].to_pylist(), known["path"].to_pylist(), rows, blocked), y)
 
 
@@ -192,7 +204,7 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     The URLs that a rule decides are the labelled ones. Labels are counted over all
     of them, by host suffix, domain and first path segment; the trees learn from
-    TRAIN_ROWS at most, those of the least hash, each beside the counts of the others,
+    TRAIN_ROWS at most, those of the least hash, each beside the counts of other folds,
     so the model is of bounded size and reruns agree. A rule's verdict stands; the
     trees judge the rest, at 0.5. A null url, and one without ://, has an empty host
     and path and no rule, and is judged by its features. Without labelled URLs of both
