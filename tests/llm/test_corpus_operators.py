@@ -210,6 +210,21 @@ def test_join_of_rows_without_ids(spark):
     assert None in kept and ({other, other + " end"} & set(kept)) and ngram_join.keep_one(docs_of(spark, []), keep_unnamed=False).count() == 0
 
 
+def test_stars(spark, monkeypatch):
+    """Each node with the least one of each of its regions, however large these are."""
+    rng = random.Random(19)
+    rows = [(rng.randrange(40), rng.randrange(500)) for _ in range(900)] + [(-1, k) for k in range(0, 500, 2)] + [(99, 7)]
+    rows = sorted(set(rows))
+    least = {}
+    for t, n in rows:
+        least[t] = min(n, least.get(t, n))
+    want = sorted({(least[t], n) for t, n in rows if least[t] != n})
+    df = spark.createDataFrame(rows, "token long, node long").repartition(5)
+    for most in (64, 8, 0):
+        monkeypatch.setattr(ngram_join, "HOT_LEAST", most)
+        assert sorted(tuple(r) for r in ngram_join._stars(df).distinct().collect()) == want
+
+
 def test_rings():
     """Rings of linked sets differ by one at most, in whole numbers."""
     rng = random.Random(13)
@@ -400,6 +415,15 @@ def test_urls_of_no_rule(spark, monkeypatch):
     assert {r["page_id"]: (r["verdict"], r["score"]) for r in url_filter.url_filter(df, rules=rules).collect()} == want
 
 
+def test_urls_by_suffix(spark):
+    """Labels that follow from the suffix alone, on held-out URLs of many hosts; each URL's own label must not tell against it."""
+    rng = random.Random(20)
+    urls = [f"http://h{rng.randrange(10**6)}.{s}/{p}/{rng.randrange(1000)}" for _ in range(160) for s, p in (("com", "en"), ("net", "de"), ("org", "es"))]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    held = url_filter.held_out_scores(df).collect()
+    assert len(held) > 80 and sum((r["score"] >= 0.5) == r["y"] for r in held) >= 0.98 * len(held)
+
+
 def test_url_label_counts(spark):
     """The counts beside each URL, by brute force over all labelled ones."""
     rng = random.Random(16)
