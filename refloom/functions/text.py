@@ -199,7 +199,9 @@ def clean_equal(a: Column, b: Column, accents: bool = False, keys: tuple[Column,
     """
     (ka, kb), la, lb = keys or (match_key(a, accents), match_key(b, accents)), F.length(a), F.length(b)
     close = (la > 5) & (lb > 5) & (F.try_divide(la, lb) > 0.7) & (F.try_divide(la, lb) < 1.3)
-    return F.coalesce(length_gate(a, b) & ((ka == kb) | (close & (F.contains(ka, kb) | F.contains(kb, ka)))), F.lit(False))
+    # Only the longer key can hold the other one; keys are ASCII.
+    within = F.when(F.octet_length(ka) >= F.octet_length(kb), F.contains(ka, kb)).otherwise(F.contains(kb, ka))
+    return F.coalesce(length_gate(a, b) & ((ka == kb) | (close & within)), F.lit(False))
 
 
 def clean_equal_text(a: str | None, b: str | None) -> bool:
