@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,23 +74,152 @@ def greedy(pairs: DataFrame, key: str = "doc_key") -> DataFrame:
     return _ordered(pairs, key).select(key, F.inline(_fold(F.col("__all"))))
 
 
+def _whole_documents(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of all rows of one or more documents, from batches in which a document's rows follow each other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch[key].to_pylist()
+        start = len(keys)
+        while start and keys[start - 1] == keys[-1]:
+            start -= 1
+        if start or (held and keys[-1] != last):
+            yield pa.Table.from_batches([*held, batch.slice(0, start)])
+            held = []
+        held.append(batch.slice(start))
+        last = keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class _Reference:
+    """What the rules compare of a reference; the bare title is made when it is first asked for."""
+
+    __slots__ = ("place", "id", "date", "vol", "fpg", "first", "fields", "tit", "_poor")
+
+    def __init__(self, place, id_, date, vol, fpg, first, tit, fields):
+        self.place, self.id, self.date, self.vol, self.fpg, self.first, self.tit, self.fields, self._poor = place, id_, date, vol, fpg, first, tit, fields, None
+
+    @property
+    def poor(self) -> str:
+        if self._poor is None:
+            self._poor = "" if self.tit is None else re.sub("[^a-z0-9]+", "", self.tit.lower())
+        return self._poor
+
+
+def _soft(g: tuple[int, str], t: tuple[int, str]) -> bool:
+    """text.clean_equal of two (length, match key)."""
+    (la, ka), (lb, kb) = g, t
+    if not la or not lb or la > 2 * lb or lb > 2 * la:
+        return False
+    return ka == kb or (la > 5 and lb > 5 and 0.7 < la / lb < 1.3 and (kb in ka if len(ka) >= len(kb) else ka in kb))
+
+
+def _rule_of(g: _Reference, t: _Reference, compare_dates: bool) -> int | None:
+    """rule_number of two references."""
+    dated = g.date is not None and t.date is not None
+    same_date = dated and g.date == t.date
+    if same_date and _soft(g.fields[0], t.fields[0]):
+        return 1
+    if (same_date if compare_dates else dated) and _soft(g.fields[1], t.fields[1]):
+        return 2
+    same_page = g.fpg is not None and g.fpg == t.fpg
+    if same_page and g.vol is not None and g.vol == t.vol and _soft(g.fields[2], t.fields[2]):
+        return 3
+    if same_date and (same_page or (g.first is not None and g.first == t.first)) and len(g.poor) > 6 and g.poor in t.poor:
+        return 4
+    return None
+
+
+def _by_id(refs: list[_Reference]) -> list[list[_Reference]]:
+    """References of one id together, in the order of ids."""
+    return [list(x) for _, x in itertools.groupby(refs, lambda r: r.id)]
+
+
+def _pairs_of(gold: list[_Reference], todo: list[_Reference], compare_dates: bool) -> list[tuple[_Reference, _Reference, int]]:
+    """Each gold reference in order with the first free extracted one that it may match; rows of one id are one reference, which the least rule of any of them matches."""
+    free, pairs = _by_id(todo), []
+    for same in _by_id(gold):
+        for k, other in enumerate(free):
+            found = min(((rule, g, t) for g in same for t in other if (rule := _rule_of(g, t, compare_dates))), key=lambda x: x[0], default=None)
+            if found:
+                pairs.append((found[1], found[2], found[0]))
+                del free[k]
+                break
+    return pairs
+
+
+def _meet(key: str, compare_dates: bool, fields: tuple[str, ...], alone: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow over both sides' references, a document's together and in order: its pairs, and with alone the references left over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_documents(batches, key):
+            col = {c: table[c].to_pylist() for c in (key, "__todo", "__id", "date", "vol", "fpg", "__first", "tit", "__names", "j")}
+            texts = list({x for c in ("tit", "__names", "j") for x in col[c] if x is not None})
+            keyed = dict(zip(texts, zip(map(len, texts), tx.match_keys(texts), strict=True), strict=True))
+            keyed[None] = (0, "")
+            compared = zip(*([keyed[x] for x in col[c]] for c in ("tit", "__names", "j")), strict=True)
+            refs = list(map(_Reference, range(table.num_rows), *(col[c] for c in ("__id", "date", "vol", "fpg", "__first", "tit")), compared))
+            at, gs, ts, said, rules, g_at, t_at = [], [], [], [], [], [], []
+
+            def put(at_, g, t, name, rule, to=(at, gs, ts, said, rules, g_at, t_at)):
+                for column, x in zip(to, (at_, g and g.id, t and t.id, name, rule, g and g.place, t and t.place), strict=True):
+                    column.append(x)
+
+            for _, rows in itertools.groupby(range(table.num_rows), col[key].__getitem__):
+                rows = list(rows)
+                gold, todo = ([refs[k] for k in rows if col["__todo"][k] is side] for side in (False, True))
+                if not gold or not todo:
+                    continue
+                gold, todo = ([r for r in x if r.id is not None] for x in (gold, todo))
+                pairs = _pairs_of(gold, todo, compare_dates)
+                for g, t, rule in pairs:
+                    put(g.place, g, t, "ali", rule)
+                if alone:
+                    paired = {g.id for g, _, _ in pairs}, {t.id for _, t, _ in pairs}
+                    for r in gold:
+                        if r.id not in paired[0]:
+                            put(r.place, r, None, "silence", None)
+                    for r in todo:
+                        if r.id not in paired[1]:
+                            put(r.place, None, r, "noise", None)
+            out = [table[key].take(pa.array(at, pa.int64())), pa.array(gs, pa.int64()), pa.array(ts, pa.int64()), pa.array(said, pa.string()), pa.array(rules, pa.int32())]
+            out += [table[f].take(pa.array(x, pa.int64())) for x in (g_at, t_at) for f in fields]
+            names = [key, "g", "t", "alignment", "rule", *(f"{k}_{f}" for k in "gt" for f in fields)]
+            yield from pa.table(out, names=names).combine_chunks().to_batches()
+
+    return run
+
+
+def _met(gold: DataFrame, todo: DataFrame, key: str, compare_dates: bool, fields: tuple[str, ...], alone: bool) -> DataFrame:
+    """key, g, t, alignment, rule, and fields of either side as g_ and t_ columns.
+
+    Both sides are dealt and sorted by document once. Python meets a document's
+    references there: the match keys of a batch are made at once, and a gold reference
+    is compared only up to the extracted one that it takes.
+    """
+    mine = ["date", "vol", "fpg", "tit", "j", *[f for f in fields if f not in ("date", "vol", "fpg", "tit", "j")]]
+    side = lambda df, c, is_todo: df.where(F.col(key).isNotNull()).select(key, F.lit(is_todo).alias("__todo"), F.col(c).cast("long").alias("__id"), F.array_join("names", " ").alias("__names"), F.try_element_at("names", F.lit(1)).alias("__first"), *mine)
+    both = side(gold, "g", False).unionByName(side(todo, "t", True))
+    kinds = {f.name: f.dataType.simpleString() for f in both.schema}
+    schema = f"`{key}` {kinds[key]}, g bigint, t bigint, alignment string, rule int" + "".join(f", `{k}_{f}` {kinds[f]}" for k in "gt" for f in fields)
+    return spread(both, key).sortWithinPartitions(key, "__todo", "__id").mapInArrow(_meet(key, compare_dates, fields, alone), schema)
+
+
+def paired(gold: DataFrame, todo: DataFrame, key: str = "doc_key", compare_dates: bool = False, fields: tuple[str, ...] = ()) -> DataFrame:
+    """key, g, t and rule of greedy's pairs of candidates, which aren't all made; with fields, those of both sides too, as g_ and t_ columns."""
+    return _met(gold, todo, key, compare_dates, fields, False).drop("alignment")
+
+
 def align(gold: DataFrame, todo: DataFrame, key: str = "doc_key", compare_dates: bool = False) -> DataFrame:
     """key, g, t, alignment (ali, silence or noise) and rule of every reference of documents that both sides have.
 
-    A document's references of either side and its candidates meet once, all dealt by
-    document; what is silence or noise is told there, so nothing is joined again.
+    Rows without an id can't be named and take no part. A document's references meet
+    once; what is silence or noise is told there, so nothing is joined again.
     """
-    ids = lambda side, c: side.groupBy(key).agg(F.collect_list(F.col(c).cast("long")).alias(f"__{c}"))
-    per = ids(gold, "g").join(ids(todo, "t"), key).join(_ordered(candidates(gold, todo, key, compare_dates), key), key, "left")
-    per = per.withColumn("__pairs", F.coalesce(_fold(F.col("__all")), F.array().cast(PAIRS)))
-    null, row = F.lit(None).cast("long"), lambda g, t, name, rule: F.struct(g.alias("g"), t.alias("t"), F.lit(name).alias("alignment"), rule.cast("int").alias("rule"))
-    left = lambda c: F.filter(f"__{c}", lambda x: ~F.exists("__pairs", lambda p: p[c] == x))
-    rows = F.concat(
-        F.transform("__pairs", lambda p: row(p["g"], p["t"], "ali", p["rule"])),
-        F.transform(left("g"), lambda x: row(x, null, "silence", null)),
-        F.transform(left("t"), lambda x: row(null, x, "noise", null)),
-    )
-    return per.select(key, F.inline(rows))
+    return _met(gold, todo, key, compare_dates, (), True)
 
 
 def validate_hit(bib: Callable[[str], Column], hit: Callable[[str], Column], issn: Column) -> Column:
