@@ -59,6 +59,6 @@ def test_documents_stay_whole_over_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
-@pytest.mark.parametrize("name", ["greedy_align", "rule_breakdown"])
+@pytest.mark.parametrize("name", ["greedy_align", "rule_breakdown", "global_counters"])
 def test_alignment_joins_nothing(spark, name):
     assert "Join" not in plan(catalogue.QUERIES[name](spark, SMALL))
