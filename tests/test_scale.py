@@ -62,3 +62,7 @@ def test_documents_stay_whole_over_batches(spark):
 @pytest.mark.parametrize("name", ["greedy_align", "rule_breakdown", "global_counters"])
 def test_alignment_joins_nothing(spark, name):
     assert "Join" not in plan(catalogue.QUERIES[name](spark, SMALL))
+
+
+def test_languages_are_the_only_join(spark):
+    assert plan(catalogue.recall_precision_by_language(spark, SMALL)).count("Join") == 1
