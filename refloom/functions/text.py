@@ -123,6 +123,41 @@ def python(value: str, steps: list[Step]) -> str:
     return value
 
 
+def _letters(steps: list[Step]) -> str:
+    """A pattern for characters without which single-character maps, and replacements of « » ‹ ›, change nothing."""
+    return "[" + "".join(map(re.escape, "".join(what if kind == "tr" else re.sub(r"[ ?|]", "", what) for kind, what, _ in steps))) + "]"
+
+
+_PUNCTUATED, _SIMPLY_PUNCTUATED = (re.compile(_letters(x)) for x in (PUNCT_STEPS[:5], SIMPLE_PUNCT_STEPS))
+_OCR_MAP = str.maketrans("Ooø1IlifteySERnu]éöç", "0001111cccv5BKaaJ66q")
+
+
+def ocr_eval_text(value: str) -> str:
+    """OCR_EVAL in Python, by plain replacements; see match_keys."""
+    for a, b in (("rn", "m"), ("nn", "m"), ("ti", "11"), ("fi", "11"), ("ü", "11"), ("C)", "0")):
+        value = value.replace(a, b)
+    return value.translate(_OCR_MAP).replace("[3", "β")
+
+
+def even_spaces_text(value: str) -> str:
+    """SPACE_STEPS_EVAL in Python."""
+    if not value.isprintable():  # No other space is printable than " ".
+        value = _compiled(*SPACE_STEPS_EVAL[0])(value)
+    while "  " in value:
+        value = value.replace("  ", " ")
+    return value.strip(" ")
+
+
+def even_punctuation_text(value: str) -> str:
+    """PUNCT_STEPS in Python."""
+    return python(value, PUNCT_STEPS) if "''" in value or "`" in value or (not value.isascii() and _PUNCTUATED.search(value)) else value
+
+
+def simple_punctuation_text(value: str) -> str:
+    """SIMPLE_PUNCT_STEPS in Python."""
+    return python(value, SIMPLE_PUNCT_STEPS) if not value.isascii() and _SIMPLY_PUNCTUATED.search(value) else value
+
+
 def canonical(value: Column) -> Column:
     """Spaces, dashes, quotes, hyphens at line ends and ligatures made uniform."""
     return apply(value, COMMON_STEPS)

@@ -258,20 +258,17 @@ def names_aligned(gold: Column, todo: Column) -> Column:
     return F.when((F.size(gold) > 0) & (F.size(todo) > 0), F.size(F.aggregate(gold, start, step))).otherwise(0)
 
 
-def _both(steps: list[tx.Step]) -> Callable[[str, str], tuple[bool, str, str]]:
+def _both(step: Callable[[str], str]) -> Callable[[str, str], tuple[bool, str, str]]:
     def run(g: str, t: str) -> tuple[bool, str, str]:
-        g, t = tx.python(g, steps), tx.python(t, steps)
+        g, t = step(g), step(t)
         return g == t, g, t
 
     return run
 
 
-def _hyphen(pattern: str, by: str) -> Callable[[str, str], tuple[bool, str, str]]:
-    def run(g: str, t: str) -> tuple[bool, str, str]:
-        g, t = re.sub(pattern, by, g), re.sub(pattern, by, t)
-        return g == t, g, t
-
-    return run
+def _hyphen(pattern: str, by: str, needs: str) -> Callable[[str, str], tuple[bool, str, str]]:
+    compiled = re.compile(pattern)
+    return _both(lambda x: compiled.sub(by, x) if needs in x else x)
 
 
 def _longer(g: str, t: str) -> tuple[bool, str, str]:
@@ -284,12 +281,12 @@ def _shorter(g: str, t: str) -> tuple[bool, str, str]:
 
 #: Comparers in their order, by the stamp each leaves; the last two come last.
 COMPARERS: dict[str, Callable[[str, str], tuple[bool, str, str]]] = {
-    "rmhyph.": _hyphen(r"(?<=\w)- ?(?=\w)", ""),
-    "joinhyph.": _hyphen(r"(?<=\w)- ", "-"),
-    "norpun.": _both(tx.PUNCT_STEPS),
-    "norspa.": _both(tx.SPACE_STEPS_EVAL),
-    "punct.": _both(tx.SIMPLE_PUNCT_STEPS),
-    "OCeeRs.": _both(tx.OCR_EVAL),
+    "rmhyph.": _hyphen(r"(?<=\w)- ?(?=\w)", "", "-"),
+    "joinhyph.": _hyphen(r"(?<=\w)- ", "-", "- "),
+    "norpun.": _both(tx.even_punctuation_text),
+    "norspa.": _both(tx.even_spaces_text),
+    "punct.": _both(tx.simple_punctuation_text),
+    "OCeeRs.": _both(tx.ocr_eval_text),
     "allongé.": _longer,
     "raccourci.": _shorter,
 }
@@ -327,20 +324,28 @@ def diagnosis(gold: str | None, todo: str | None, field: str = "", substring_inf
     return "NON_diff"
 
 
-def diagnose(pairs: DataFrame, keep: list[str], fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """keep and a diagnosis column for each field, from columns g_field and t_field; Arrow batches."""
-
-    def make(field: str):
-        @F.pandas_udf("string")
-        def run(gold, todo):
-            clean = lambda x: x if isinstance(x, str) else None
-            pairs = [(clean(g), clean(t)) for g, t in zip(gold, todo, strict=True)]
-            known = {p: diagnosis(*p, field) for p in set(pairs)}
-            return pd.Series([known[p] for p in pairs], dtype=object)
-
-        return run
-
-    return spread(pairs, *keep).select(*keep, *[make(f)(F.col(f"g_{f}"), F.col(f"t_{f}")).alias(f) for f in fields])
+def diagnose(pairs: DataFrame, keep: list[str], fields: tuple[str, ...] = FIELDS, dealt: bool = False) -> DataFrame:
+    """keep and a diagnosis column for each field, from columns g_field and t_field; Arrow batches. Unless they are dealt over all cores already, rows are dealt by keep."""
+
+    @F.pandas_udf(", ".join(f"`{f}` string" for f in fields))
+    def run(*columns: pd.Series) -> pd.DataFrame:
+        clean = lambda x: x if isinstance(x, str) else None
+        # Only a title's address depends on the field: equal pairs of other fields are told once for all of them.
+        known, out = {}, {}
+        for k, f in enumerate(fields):
+            said = []
+            for g, t in zip(columns[2 * k], columns[2 * k + 1], strict=True):
+                g, t = clean(g), clean(t)
+                told = (g, t, f == "tit" and t is not None and "http" in t)
+                if told not in known:
+                    known[told] = diagnosis(g, t, f)
+                said.append(known[told])
+            out[f] = pd.Series(said, dtype=object)
+        return pd.DataFrame(out)
+
+    rows = pairs if dealt else spread(pairs, *keep)
+    said = run(*[F.col(f"{k}_{f}") for f in fields for k in "gt"])
+    return rows.select(*keep, said.alias("__said")).select(*keep, *[F.col(f"__said.{f}").alias(f) for f in fields])
 
 
 def unmatched(rows: DataFrame, keep: list[str], silence: bool, fields: tuple[str, ...] = FIELDS) -> DataFrame:

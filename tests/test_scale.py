@@ -59,10 +59,27 @@ def test_documents_stay_whole_over_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
-@pytest.mark.parametrize("name", ["greedy_align", "rule_breakdown", "global_counters"])
+@pytest.mark.parametrize("name", ["greedy_align", "rule_breakdown", "global_counters", "field_diagnosis"])
 def test_alignment_joins_nothing(spark, name):
     assert "Join" not in plan(catalogue.QUERIES[name](spark, SMALL))
 
 
 def test_languages_are_the_only_join(spark):
     assert plan(catalogue.recall_precision_by_language(spark, SMALL)).count("Join") == 1
+
+
+def test_comparers_are_their_steps():
+    rnd = random.Random(3)
+    letters = "nrtifüoOøC)1IlyeSERu][3éöçæﬁ '`\"-‐—«»‹›“’¯\t\n\u0092\u00a0\u200b\ufeff\u2029 ab -"
+    plain = ((tx.ocr_eval_text, tx.OCR_EVAL), (tx.even_spaces_text, tx.SPACE_STEPS_EVAL), (tx.even_punctuation_text, tx.PUNCT_STEPS), (tx.simple_punctuation_text, tx.SIMPLE_PUNCT_STEPS))
+    for value in ("".join(rnd.choices(letters, k=rnd.randint(0, 14))) for _ in range(5000)):
+        for fast, steps in plain:
+            assert fast(value) == tx.python(value, steps)
+
+
+def test_equal_pairs_are_diagnosed_once_for_all_fields(spark):
+    row = ("Long enough", "Long enough http://x", "Long enough", "Long enough http://x", None, "x")
+    rows = spark.createDataFrame([(1, *row)], "k int, " + ", ".join(f"{k}_{f} string" for f in ("tit", "j", "vol") for k in "gt"))
+    out = linkage.diagnose(rows, ["k"], ("tit", "j", "vol"), dealt=True)
+    assert tuple(out.first()) == (1, "NON_+long_tit_http", "NON_diff", "NON_bruit")
+    assert plan(out).count("ArrowEvalPython") == 1 and "Exchange" not in plan(out)
