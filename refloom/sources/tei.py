@@ -228,15 +228,71 @@ def linkable(bibs: DataFrame, longest: int = 300) -> DataFrame:
     return bibs.where(F.col("bib").rlike(r"<analytic[\s/>]") & (F.coalesce(F.length(F.try_element_at(titles, F.lit(-1))), F.lit(0)) <= longest))
 
 
+_READ = ("tit", "date", "j", "vol", "iss", "fpg", "lpg", "psher")
+
+
+def _first(found: list) -> str | None:
+    """What XPath says of the first of the nodes, attributes being strings; null for none and for an empty one."""
+    return (found[0] if isinstance(found[0], str) else "".join(found[0].itertext())) or None if found else None
+
+
+def _read(bib: str | None) -> tuple | None:
+    """Compared fields and names of a reference, or null where only XPath can tell: other than elements, attributes and texts, namespaces, and what isn't well-formed."""
+    if not bib or "<!" in bib or "<?" in bib or "xmlns" in bib:
+        return None
+    try:
+        root = ET.fromstring(bib)
+    except ET.ParseError:
+        return None
+    parts = lambda name, of: [x for y in of if y.tag == name for x in y]
+    named = [root] if root.tag == ROOT else []
+    inner = [x for r in named for x in r]
+    analytic, monogr = [x for x in parts("analytic", inner) if x.tag == "title"], parts("monogr", inner)
+    imprint, titles = parts("imprint", monogr), [x for x in monogr if x.tag == "title"]
+    scopes = [x for x in imprint if x.tag == "biblScope"]
+    level = lambda of, v: _first([x for x in of if x.get("level") == v])
+    unit = lambda *vs: next((v for u in vs if (v := _first([x for x in scopes if x.get("unit") == u]))), None)
+    page = lambda end: next((v for u in ("page", "pp") if (v := _first([x.get(end) for x in scopes if x.get("unit") == u and end in x.keys()]))), None)
+    date = _first([x.get("when") for x in imprint if x.tag == "date" and "when" in x.keys()])
+    names = []
+    for x in root.iter("surname"):
+        if len(x):
+            if any(y is not x for y in x.iter("surname")):
+                return None
+            names += [t for t in (x.text, *(y.tail for y in x)) if t]
+        elif x.text:
+            names.append(x.text)
+    return (
+        level(analytic, "a") or _first(analytic) or level(titles, "m"), date[:4] if date else None, level(titles, "j"), unit("vol", "volume"), unit("issue", "iss"), page("from"), page("to"),
+        _first([x for x in imprint if x.tag == "publisher"]), names,
+    )
+
+
+def _read_all(bibs: pa.Array) -> pa.Array:
+    """_read of each, null for null; for an Arrow UDF."""
+    rows = [_read(x) for x in bibs.to_pylist()]
+    kinds = [pa.string()] * len(_READ) + [pa.list_(pa.string())]
+    columns = [pa.array([r and r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+    return pa.StructArray.from_arrays([*columns, pa.array([r is not None for r in rows])], names=[*_READ, "names", "plain"])
+
+
 def canonical_fields(bibs: DataFrame) -> DataFrame:
-    """The eight compared fields and the names of each reference; volume, pages and dates where either spelling has them."""
+    """The eight compared fields and the names of each reference; volume, pages and dates where either spelling has them.
+
+    Each reference is parsed once, in Arrow batches; XPath, which parses it for every
+    path, is left for those with comments, namespaces and the like.
+    """
     one = lambda *paths: F.coalesce(*[F.nullif(F.xpath_string("bib", F.lit(f"/biblStruct/{p}")), F.lit("")) for p in paths])
     unit = lambda u: f'monogr/imprint/biblScope[@unit="{u}"]'
-    return spread(bibs, "doc_key", "bib_id").withColumns({
+    paths = {
         "tit": one('analytic/title[@level="a"]', "analytic/title", 'monogr/title[@level="m"]'), "date": F.substring(one("monogr/imprint/date/@when"), 1, 4), "j": one('monogr/title[@level="j"]'),
         "vol": one(unit("vol"), unit("volume")), "iss": one(unit("issue"), unit("iss")), "fpg": one(unit("page") + "/@from", unit("pp") + "/@from"), "lpg": one(unit("page") + "/@to", unit("pp") + "/@to"),
-        "psher": one("monogr/imprint/publisher"), "names": F.xpath("bib", F.lit("//surname/text()")), "has_analytic": F.col("bib").rlike(r"<analytic[\s/>]"),
-    })
+        "psher": one("monogr/imprint/publisher"), "names": F.xpath("bib", F.lit("//surname/text()")),
+    }
+    read = F.arrow_udf(_read_all, ", ".join(f"{f} string" for f in _READ) + ", names array<string>, plain boolean")
+    rows = spread(bibs, "doc_key", "bib_id").withColumn("__read", read("bib"))
+    told = lambda f: F.when(F.col("__read.plain"), F.col(f"__read.{f}")).otherwise(paths[f])
+    return rows.withColumns({f: told(f) for f in paths} | {"has_analytic": F.col("bib").rlike(r"<analytic[\s/>]")}).drop("__read")
 
 
 def root_path(xml: Column) -> Column:

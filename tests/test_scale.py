@@ -2,12 +2,14 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from refloom.functions import text as tx
 from refloom.operators import linkage
 from refloom.plans import catalogue
+from refloom.sources import tei
 
 SMALL = "/root/testdata/sf0.001"
 REFERENCE = "doc_key string, {} int, tit string, date string, j string, vol string, fpg string, names array<string>"
@@ -83,3 +85,42 @@ def test_equal_pairs_are_diagnosed_once_for_all_fields(spark):
     out = linkage.diagnose(rows, ["k"], ("tit", "j", "vol"), dealt=True)
     assert tuple(out.first()) == (1, "NON_+long_tit_http", "NON_diff", "NON_bruit")
     assert plan(out).count("ArrowEvalPython") == 1 and "Exchange" not in plan(out)
+
+
+ODD_BIBS = [
+    '<biblStruct xml:id="b0"><analytic><title>No level</title><title level="a">Thin <hi>films</hi> of<x/> gold</title><author><persName><surname>Smith</surname><forename>A</forename></persName></author></analytic></biblStruct>',
+    '<biblStruct><analytic><title level="a"/><title level="a">second</title></analytic><monogr><title level="m">Book</title><title level="j">J</title><title level="j">K</title></monogr></biblStruct>',
+    '<biblStruct><monogr><title level="m">B &amp; C</title><imprint><date when=""/><date>1999</date><date when="2001-02-03"/><biblScope unit="volume">3</biblScope><biblScope unit="vol"/><biblScope unit="pp" from="1" to="9"/><biblScope unit="page">5</biblScope></imprint></monogr></biblStruct>',
+    '<biblStruct><monogr><imprint><date>x</date><date when="12345"/><biblScope unit="vol">1</biblScope><biblScope unit="volume">2</biblScope><biblScope unit="iss">7</biblScope><biblScope unit="page" from="" to="4"/><biblScope unit="pp" from="8"/><publisher>P<i>Q</i></publisher></imprint></monogr></biblStruct>',
+    "<biblStruct><surname>S<i>y</i>Q</surname><c><surname/><surname> </surname><surname>é&#233;\r\nz</surname></c><analytic/><analytic><title>T</title></analytic></biblStruct>",
+    "<biblStruct><surname>a<!-- c -->b<?pi x?>c<![CDATA[d]]></surname><analytic><title><![CDATA[<q>]]></title></analytic></biblStruct>",
+    "<biblStruct><surname>out<surname>in</surname>after</surname></biblStruct>",
+    '<biblStruct xmlns="u" xmlns:t="v"><t:analytic><title t:level="a">N</title></t:analytic></biblStruct>',
+    '<biblStruct><t:analytic><title level="a">unbound</title></t:analytic><monogr t:x="1"/></biblStruct>',
+    "<other><analytic><title>T</title></analytic><surname>S</surname></other>", "<biblStruct/>", "", None,
+]
+
+
+def test_references_are_read_as_xpath_reads_them(spark, monkeypatch):
+    bibs = spark.createDataFrame([("d", f"b{k}", x) for k, x in enumerate(ODD_BIBS)], "doc_key string, bib_id string, bib string")
+    got = {r["bib_id"]: r for r in tei.canonical_fields(bibs).collect()}
+    assert sum(tei._read(x) is not None for x in ODD_BIBS) == 7
+
+    def xpath_alone(given: pa.Array) -> pa.Array:
+        none = [None] * len(given)
+        return pa.StructArray.from_arrays([*[pa.array(none, pa.string())] * 8, pa.array(none, pa.list_(pa.string())), pa.array([False] * len(given))], names=[*tei._READ, "names", "plain"])
+
+    monkeypatch.setattr(tei, "_read_all", xpath_alone)
+    want = {r["bib_id"]: r for r in tei.canonical_fields(bibs).collect()}
+    assert got == want
+    assert got["b0"]["tit"] == "Thin films of gold" and got["b2"]["date"] is None and got["b4"]["names"] == ["S", "Q", " ", "éé\nz"]
+
+
+def test_malformed_references_fail_as_before(spark):
+    bibs = spark.createDataFrame([("d", "b", "<biblStruct><a></biblStruct>")], "doc_key string, bib_id string, bib string")
+    with pytest.raises(Exception, match="SAXParseException|biblStruct"):
+        tei.canonical_fields(bibs).collect()
+
+
+def test_references_are_parsed_once(spark):
+    assert plan(catalogue.tei_canonical_fields(spark, SMALL)).count("ArrowEvalPython") == 1
