@@ -9,11 +9,14 @@ from __future__ import annotations
 import itertools
 import re
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache, reduce
 
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Step = tuple[str, str, str]
 WORD = r"[\p{L}\p{N}_]"
@@ -254,6 +257,20 @@ def match_keys(values: list[str]) -> list[str]:
     return raw.translate(_SMALL, _NO_KEY).decode().split("\n")
 
 
+def with_match_key(rows: DataFrame, value: str, key: str, length: str) -> DataFrame:
+    """rows with match_key of a value in its place, and the value's length; null for null. The keys of an Arrow batch are made at once."""
+    kept = [f for f in rows.schema if f.name != value]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch[value].to_pylist()
+            keys = match_keys([v or "" for v in values])
+            made = [pa.array([None if v is None else k for v, k in zip(values, keys, strict=True)], pa.string()), pc.utf8_length(batch[value]).cast(pa.int32())]
+            yield pa.record_batch([*(batch[f.name] for f in kept), *made], names=[*(f.name for f in kept), key, length])
+
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField(key, T.StringType()), T.StructField(length, T.IntegerType())]))
+
+
 def match_key_sql(value: str) -> str:
     return f"regexp_replace(lower({sql(value, OCR_EVAL + LIGATURE_STEPS + SIMPLE_PUNCT_STEPS)}), '[^a-z0-9]+', '', 'g')"
 

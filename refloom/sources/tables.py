@@ -65,7 +65,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def explode_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, i and line, empty lines included."""
-    return docs.select(key, F.posexplode(F.split(F.translate(text, "\f", "\n"), "\n")).alias("i", "line"))
+    return docs.select(key, F.posexplode(F.split(F.replace(F.col(text), F.lit("\f"), F.lit("\n")), "\n")).alias("i", "line"))
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:

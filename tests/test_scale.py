@@ -124,3 +124,12 @@ def test_malformed_references_fail_as_before(spark):
 
 def test_references_are_parsed_once(spark):
     assert plan(catalogue.tei_canonical_fields(spark, SMALL)).count("ArrowEvalPython") == 1
+
+
+def test_keys_of_lines_are_made_by_batch(spark):
+    values = ["Thin ﬁlms of gold", "", None, "a\nb", "é" * 3, "𝔸 rnn", "--"]
+    rows = spark.createDataFrame(list(enumerate(values)), "k int, v string")
+    got = tx.with_match_key(rows, "v", "key", "n").orderBy("k").collect()
+    assert got == rows.select("k", tx.match_key(F.col("v")).alias("key"), F.length("v").alias("n")).orderBy("k").collect()
+    text = plan(catalogue.soft_equal_pairs(spark, SMALL))
+    assert text.count("MapInArrow") == 1 and "line#" not in text.split("MapInArrow")[0]
