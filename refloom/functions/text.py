@@ -12,6 +12,7 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache, reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -239,6 +240,52 @@ _ASCII = bytes(range(128))
 _NO_KEY = bytes(c for c in range(256) if chr(c) not in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789\n")
 
 
+# What a byte becomes in a key, by itself and the byte after it (first + 256 * second); 0 is no part of one. From _RN on, more than one byte is meant.
+_RN, _NN, _OPEN_3, _U, _SPELLED_HERE = range(128, 133)
+
+
+def _pair_table() -> np.ndarray:
+    alone = [c if c == 10 else 0 if _OCR_TABLE[c] in _NO_KEY else _SMALL[_OCR_TABLE[c]] for c in range(256)]
+    out = np.tile(np.array(alone, np.uint8), 256)
+    for pair, code in {"rn": _RN, "nn": _NN, "ti": ord("1"), "fi": ord("1"), "C)": ord("0"), "[3": _OPEN_3, "ü": _U, "ø": ord("0"), "é": ord("6"), "ö": ord("6"), "ç": ord("q")}.items():
+        out[int.from_bytes(pair.encode(), "little")] = code
+    for a, _ in _SPELLED:
+        out[int.from_bytes(a[:2], "little")] = _SPELLED_HERE
+    return out
+
+
+_PAIRS = _pair_table()
+#: Bytes that are looked up at once, so that they stay in the cache.
+_BLOCK = 1 << 15
+
+
+def _fast_keys(raw: bytes) -> bytes | None:
+    """Keys of lines by one lookup of each byte and the next; None if a character may be there that is spelled with several letters."""
+    n = len(raw)
+    pairs, out, special = np.ndarray(n, "<u2", raw + b"\n", strides=(1,)), np.empty(n, np.uint8), []
+    for k in range(0, n, _BLOCK):
+        block = out[k : k + _BLOCK]
+        np.take(_PAIRS, pairs[k : k + _BLOCK], out=block, mode="clip")
+        special.append(np.flatnonzero(block >= _RN) + k)
+    at = np.concatenate(special) if special else np.empty(0, np.int64)
+    code = out[at]
+    if (code == _SPELLED_HERE).any():
+        return None
+    # No "rn" shares its r with another match, so these go first; of a run of n that is left the first two are a pair, and so on.
+    rn, nn = at[code == _RN], np.setdiff1d(at[code == _NN], at[code == _RN] + 1, assume_unique=True)
+    if nn.size:
+        k = np.arange(nn.size)
+        nn = nn[(k - np.maximum.accumulate(np.where(np.diff(nn, prepend=-2) > 1, k, 0))) % 2 == 0]
+    for found in (rn, nn):
+        out[found] = ord("m")
+        out[found + 1] = 0
+    found = at[code == _OPEN_3]
+    out[found] = out[found + 1] = 0
+    found = at[code == _U]
+    out[found] = out[found + 1] = ord("1")
+    return out.tobytes().translate(None, b"\0")
+
+
 def match_keys(values: list[str]) -> list[str]:
     """match_key of each value, in Python for Arrow batches: the steps run once over all values, as bytes with a line for each."""
     if not values:
@@ -248,6 +295,9 @@ def match_keys(values: list[str]) -> list[str]:
         # A line end is no part of a key, nor of what the steps replace.
         every = "\n".join([v.replace("\n", " ") for v in values])
     raw = every.encode()
+    keys = _fast_keys(raw)
+    if keys is not None:
+        return keys.decode().split("\n")
     there = {c.encode() for c in set(raw.translate(None, _ASCII).decode())}
     for a, b in _OCR_PAIRS + [x for x in _OCR_LETTERS if x[0] in there]:
         raw = raw.replace(a, b)

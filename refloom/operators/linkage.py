@@ -94,13 +94,17 @@ def _whole_documents(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
+#: What the rules compare of a reference.
+COMPARED = ("tit", "date", "j", "vol", "fpg", "names")
+
+
 class _Reference:
-    """What the rules compare of a reference; the bare title is made when it is first asked for."""
+    """What the rules compare of a reference; keys are (length, match key), and the bare title is made when it is first asked for."""
 
-    __slots__ = ("place", "id", "date", "vol", "fpg", "first", "fields", "tit", "_poor")
+    __slots__ = ("place", "id", "tit", "date", "j", "vol", "fpg", "first", "names", "k_tit", "k_j", "k_names", "_poor")
 
-    def __init__(self, place, id_, date, vol, fpg, first, tit, fields):
-        self.place, self.id, self.date, self.vol, self.fpg, self.first, self.tit, self.fields, self._poor = place, id_, date, vol, fpg, first, tit, fields, None
+    def __init__(self, place, id_, tit, date, j, vol, fpg, first, names):
+        self.place, self.id, self.tit, self.date, self.j, self.vol, self.fpg, self.first, self.names, self._poor = place, id_, tit, date, j, vol, fpg, first, names, None
 
     @property
     def poor(self) -> str:
@@ -109,6 +113,23 @@ class _Reference:
         return self._poor
 
 
+Sides = tuple[list[_Reference], list[_Reference]]
+
+
+def _set_keys(documents: list[Sides]) -> None:
+    """Match keys of all references of documents, made at once. A journal is left out where the other side has no reference of its volume and page: no rule asks for it."""
+    met = []
+    for gold, todo in documents:
+        places = {(r.vol, r.fpg) for r in gold} & {(r.vol, r.fpg) for r in todo}
+        met += [(r, r.j if (r.vol, r.fpg) in places else None) for side in (gold, todo) for r in side]
+    texts = {x for r, j in met for x in (r.tit, r.names, j)}
+    texts.discard(None)
+    keyed = {x: (len(x), k) for x, k in zip(texts, tx.match_keys(list(texts)), strict=True)}
+    keyed[None] = (0, "")
+    for r, j in met:
+        r.k_tit, r.k_names, r.k_j = keyed[r.tit], keyed[r.names], keyed[j]
+
+
 def _soft(g: tuple[int, str], t: tuple[int, str]) -> bool:
     """text.clean_equal of two (length, match key)."""
     (la, ka), (lb, kb) = g, t
@@ -121,12 +142,12 @@ def _rule_of(g: _Reference, t: _Reference, compare_dates: bool) -> int | None:
     """rule_number of two references."""
     dated = g.date is not None and t.date is not None
     same_date = dated and g.date == t.date
-    if same_date and _soft(g.fields[0], t.fields[0]):
+    if same_date and _soft(g.k_tit, t.k_tit):
         return 1
-    if (same_date if compare_dates else dated) and _soft(g.fields[1], t.fields[1]):
+    if (same_date if compare_dates else dated) and _soft(g.k_names, t.k_names):
         return 2
     same_page = g.fpg is not None and g.fpg == t.fpg
-    if same_page and g.vol is not None and g.vol == t.vol and _soft(g.fields[2], t.fields[2]):
+    if same_page and g.vol is not None and g.vol == t.vol and _soft(g.k_j, t.k_j):
         return 3
     if same_date and (same_page or (g.first is not None and g.first == t.first)) and len(g.poor) > 6 and g.poor in t.poor:
         return 4
@@ -143,7 +164,11 @@ def _pairs_of(gold: list[_Reference], todo: list[_Reference], compare_dates: boo
     free, pairs = _by_id(todo), []
     for same in _by_id(gold):
         for k, other in enumerate(free):
-            found = min(((rule, g, t) for g in same for t in other if (rule := _rule_of(g, t, compare_dates))), key=lambda x: x[0], default=None)
+            if len(same) == len(other) == 1:
+                rule = _rule_of(same[0], other[0], compare_dates)
+                found = rule and (rule, same[0], other[0])
+            else:
+                found = min(((rule, g, t) for g in same for t in other if (rule := _rule_of(g, t, compare_dates))), key=lambda x: x[0], default=None)
             if found:
                 pairs.append((found[1], found[2], found[0]))
                 del free[k]
@@ -151,44 +176,88 @@ def _pairs_of(gold: list[_Reference], todo: list[_Reference], compare_dates: boo
     return pairs
 
 
+Row = tuple[_Reference | None, _Reference | None, str, int | None]
+
+
+def _rows_of(gold: list[_Reference], todo: list[_Reference], compare_dates: bool, alone: bool) -> list[Row]:
+    """References of either side, alignment and rule of a document's pairs, and with alone of the references left over; none unless it has both sides."""
+    if not gold or not todo:
+        return []
+    gold, todo = (sorted((r for r in x if r.id is not None), key=lambda r: r.id) for x in (gold, todo))
+    pairs = _pairs_of(gold, todo, compare_dates)
+    rows: list[Row] = [(g, t, "ali", rule) for g, t, rule in pairs]
+    if alone:
+        paired = {g.id for g, _, _ in pairs}, {t.id for _, t, _ in pairs}
+        rows += [(r, None, "silence", None) for r in gold if r.id not in paired[0]]
+        rows += [(None, r, "noise", None) for r in todo if r.id not in paired[1]]
+    return rows
+
+
+def _columns_of(rows: list[Row]) -> list[pa.Array]:
+    """The columns g, t, alignment and rule."""
+    ids = [pa.array([r[k] and r[k].id for r in rows], pa.int64()) for k in (0, 1)]
+    return [*ids, pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int32())]
+
+
+def _names(key: str, fields: tuple[str, ...]) -> list[str]:
+    return [key, "g", "t", "alignment", "rule", *(f"{k}_{f}" for k in "gt" for f in fields)]
+
+
 def _meet(key: str, compare_dates: bool, fields: tuple[str, ...], alone: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow over both sides' references, a document's together and in order: its pairs, and with alone the references left over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_documents(batches, key):
-            col = {c: table[c].to_pylist() for c in (key, "__todo", "__id", "date", "vol", "fpg", "__first", "tit", "__names", "j")}
-            texts = list({x for c in ("tit", "__names", "j") for x in col[c] if x is not None})
-            keyed = dict(zip(texts, zip(map(len, texts), tx.match_keys(texts), strict=True), strict=True))
-            keyed[None] = (0, "")
-            compared = zip(*([keyed[x] for x in col[c]] for c in ("tit", "__names", "j")), strict=True)
-            refs = list(map(_Reference, range(table.num_rows), *(col[c] for c in ("__id", "date", "vol", "fpg", "__first", "tit")), compared))
-            at, gs, ts, said, rules, g_at, t_at = [], [], [], [], [], [], []
-
-            def put(at_, g, t, name, rule, to=(at, gs, ts, said, rules, g_at, t_at)):
-                for column, x in zip(to, (at_, g and g.id, t and t.id, name, rule, g and g.place, t and t.place), strict=True):
-                    column.append(x)
-
+            col = {c: table[c].to_pylist() for c in (key, "__todo", "__id", "tit", "date", "j", "vol", "fpg", "__first", "__names")}
+            refs = list(map(_Reference, range(table.num_rows), *(col[c] for c in ("__id", "tit", "date", "j", "vol", "fpg", "__first", "__names"))))
+            documents = []
             for _, rows in itertools.groupby(range(table.num_rows), col[key].__getitem__):
                 rows = list(rows)
-                gold, todo = ([refs[k] for k in rows if col["__todo"][k] is side] for side in (False, True))
-                if not gold or not todo:
-                    continue
-                gold, todo = ([r for r in x if r.id is not None] for x in (gold, todo))
-                pairs = _pairs_of(gold, todo, compare_dates)
-                for g, t, rule in pairs:
-                    put(g.place, g, t, "ali", rule)
-                if alone:
-                    paired = {g.id for g, _, _ in pairs}, {t.id for _, t, _ in pairs}
-                    for r in gold:
-                        if r.id not in paired[0]:
-                            put(r.place, r, None, "silence", None)
-                    for r in todo:
-                        if r.id not in paired[1]:
-                            put(r.place, None, r, "noise", None)
-            out = [table[key].take(pa.array(at, pa.int64())), pa.array(gs, pa.int64()), pa.array(ts, pa.int64()), pa.array(said, pa.string()), pa.array(rules, pa.int32())]
-            out += [table[f].take(pa.array(x, pa.int64())) for x in (g_at, t_at) for f in fields]
-            names = [key, "g", "t", "alignment", "rule", *(f"{k}_{f}" for k in "gt" for f in fields)]
-            yield from pa.table(out, names=names).combine_chunks().to_batches()
+                documents.append(tuple([refs[k] for k in rows if col["__todo"][k] is side] for side in (False, True)))
+            _set_keys(documents)
+            rows = [r for gold, todo in documents for r in _rows_of(gold, todo, compare_dates, alone)]
+            out = [table[key].take(pa.array([(g or t).place for g, t, _, _ in rows], pa.int64())), *_columns_of(rows)]
+            out += [table[f].take(pa.array([r[k] and r[k].place for r in rows], pa.int64())) for k in (0, 1) for f in fields]
+            yield from pa.table(out, names=_names(key, fields)).combine_chunks().to_batches()
+
+    return run
+
+
+References = Callable[..., tuple[list[tuple], list[tuple]]]
+#: Documents that are met at once have about so many characters.
+PORTION = 1 << 22
+
+
+def _meet_within(key: str, columns: list[str], references: References, compare_dates: bool, fields: tuple[str, ...], alone: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """_meet over documents, the rows of one together, whose references are made here."""
+
+    def made(place: int, id_, tit, date, j, vol, fpg, names) -> _Reference:
+        first = names[0] if names else None
+        joined = first if first is not None and len(names) == 1 else None if names is None else " ".join([x for x in names if x is not None])
+        return _Reference(place, id_, tit, date, j, vol, fpg, first, joined)
+
+    def met(keys: pa.ChunkedArray, documents: list[Sides]) -> Iterator[pa.RecordBatch]:
+        _set_keys(documents)
+        rows = [r for gold, todo in documents for r in _rows_of(gold, todo, compare_dates, alone)]
+        out = [keys.take(pa.array([(g or t).place for g, t, _, _ in rows], pa.int64())), *_columns_of(rows)]
+        out += [pa.array([r[k] and getattr(r[k], f) for r in rows], pa.string()) for k in (0, 1) for f in fields]
+        yield from pa.table(out, names=_names(key, fields)).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_documents(batches, key):
+            held, size = [], 0
+            for _, rows in itertools.groupby(zip(table[key].to_pylist(), range(table.num_rows), *(table[c].to_pylist() for c in columns), strict=True), lambda x: x[0]):
+                gold, todo = [], []
+                for _, place, *values in rows:
+                    size += sum(len(x) for x in values if isinstance(x, str))
+                    for side, found in zip((gold, todo), references(*values), strict=True):
+                        side += [made(place, *x) for x in found]
+                held.append((gold, todo))
+                if size >= PORTION:
+                    yield from met(table[key], held)
+                    held, size = [], 0
+            if held:
+                yield from met(table[key], held)
 
     return run
 
@@ -222,6 +291,20 @@ def align(gold: DataFrame, todo: DataFrame, key: str = "doc_key", compare_dates:
     return _met(gold, todo, key, compare_dates, (), True)
 
 
+def align_within(docs: DataFrame, key: str, columns: list[str], references: References, compare_dates: bool = False, alone: bool = True, fields: tuple[str, ...] = ()) -> DataFrame:
+    """align, or without alone the pairs only, where both sides are made of the documents' own columns; with fields, those of COMPARED but names of both sides too, as g_ and t_ columns.
+
+    references gives the gold and the extracted references of a row, from its values of
+    columns, each as a tuple of its id and COMPARED. Rows of one key are one document.
+    The documents are dealt and sorted by key as they are, and references are made
+    where they meet: a text travels once, not with each field of each side.
+    """
+    kind = docs.select(key).schema[0].dataType.simpleString()
+    schema = f"`{key}` {kind}, g bigint, t bigint, alignment string, rule int" + "".join(f", `{k}_{f}` string" for k in "gt" for f in fields)
+    dealt = spread(docs.select(key, *columns).where(F.col(key).isNotNull()), key).sortWithinPartitions(key, *columns)
+    return dealt.mapInArrow(_meet_within(key, columns, references, compare_dates, fields, alone), schema)
+
+
 def validate_hit(bib: Callable[[str], Column], hit: Callable[[str], Column], issn: Column) -> Column:
     """Which rule shows that a hit is the reference: 1a journal by ISSN, 1b journal by name, 2 title and author; null if none."""
     date = bib("date") == hit("publicationDate")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from refloom.functions import text as tx
 from refloom.operators import linkage
 from refloom.plans import catalogue
-from refloom.sources import tei
+from refloom.sources import tables, tei
 
 SMALL = "/root/testdata/sf0.001"
 REFERENCE = "doc_key string, {} int, tit string, date string, j string, vol string, fpg string, names array<string>"
@@ -70,6 +70,61 @@ def test_languages_are_the_only_join(spark):
     assert plan(catalogue.recall_precision_by_language(spark, SMALL)).count("Join") == 1
 
 
+def plain_sides(docs):
+    """The references of catalogue's documents by columns, as two tables."""
+    rows = tables.explode_lines(docs, "doc_key", "text").where("line <> ''")
+    gold = rows.selectExpr("doc_key", "i g", "line tit", "'2001' date", "line j", "string(length(line)) vol", "string(i) fpg", "slice(split(line, ' '), 1, 1) names")
+    seen = rows.where("length(line) >= 20").selectExpr("*", "translate(line, 'lo', '10') noisy", "length(line) > 400 cut")
+    first = seen.selectExpr("doc_key", "i * 2 t", "if(cut, substring(noisy, 1, 400), noisy) tit", "'2001' date", "noisy j", "if(cut, '0', string(length(line))) vol", "string(i) fpg", "slice(split(noisy, ' '), 1, 1) names")
+    second = seen.where("cut").selectExpr("doc_key", "i * 2 + 1 t", "substring(noisy, 401) tit", "'2001' date", "'' j", "'0' vol", "string(i) fpg", "array('x') names")
+    return gold, first.unionByName(second)
+
+
+def odd_texts(rnd):
+    words = ["Gold", "films", "of", "rnodern", "Modern", "times", "l", "o", "", "ﬁnal", "é\u2029x", "𝔸", "x" * 90]
+    line = lambda: " ".join(rnd.choices(words, k=rnd.choice([0, 1, 3, 6, 60])))
+    texts = ["".join(line() + rnd.choice("\n\f\r") for _ in range(rnd.randint(0, 9))) for _ in range(60)]
+    return [(rnd.choice([k, k, k // 4, None]), x) for k, x in enumerate([*texts, None, "", "\n", "short", "a line of twenty cha", "y" * 401])]
+
+
+def test_documents_that_hold_both_sides_align_as_tables(spark, tmp_path):
+    docs = spark.createDataFrame(odd_texts(random.Random(11)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    g, t = plain_sides(docs.withColumnRenamed("doc_id", "doc_key"))
+    told = lambda df: sorted(map(str, df.select("doc_key", "g", "t", "alignment", "rule").collect()))
+    want = linkage.align(g, t)
+    assert told(catalogue.greedy_align(spark, str(tmp_path))) == told(want) and want.where("rule = 1").count() and want.where("alignment = 'noise'").count()
+    fields = ("tit", "date", "j", "vol", "fpg")
+    once = docs.groupBy("doc_id").count().where("count = 1").selectExpr("doc_id doc_key")
+    pairs = lambda df: sorted(map(str, df.join(once, "doc_key", "left_semi").collect()))
+    got = catalogue._aligned(spark, str(tmp_path), alone=False, fields=fields).drop("alignment")
+    assert pairs(got) == pairs(linkage.paired(g, t, fields=fields)) and pairs(got)
+
+
+@pytest.mark.parametrize("portion", [1, 1000])
+def test_portions_lose_no_reference(spark, monkeypatch, portion):
+    texts = pa.record_batch({"k": pa.array([1, 1, 2, 3, 3, 4]), "text": pa.array(["Thin films of rnodern gold", "Other lines of gold and more", None, "Thin films of gold or not", "", "short"])})
+    run = lambda: [r for b in linkage._meet_within("k", ["text"], catalogue._references, False, (), True)(iter([texts.slice(0, 1), texts.slice(1)])) for r in b.to_pylist()]
+    want = run()
+    monkeypatch.setattr(linkage, "PORTION", portion)
+    assert run() == want and [(r["k"], r["alignment"]) for r in want] == [(1, "ali"), (3, "ali")]
+
+
+@pytest.mark.parametrize("name", ["recall_precision_by_language", "greedy_align", "field_diagnosis"])
+def test_lines_are_made_where_they_meet(spark, name):
+    text = plan(catalogue.QUERIES[name](spark, SMALL))
+    assert "Generate" not in text and "Union" not in text
+
+
+def test_keys_are_looked_up_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(tx, "_BLOCK", 7)
+    rnd = random.Random(6)
+    values = ["".join(rnd.choices("nnrtifC)[3] üéßoO0-\0A", k=rnd.randint(0, 40))) for _ in range(2000)] + ["n" * 50, "rn" + "n" * 51, "n" * 8 + "rn"]
+    assert tx._fast_keys("\n".join(values).encode()) is not None and tx._fast_keys("ﬁ".encode()) is None
+    rows = spark.createDataFrame(list(enumerate(values)), "k int, v string").select("k", tx.match_key(F.col("v")).alias("key")).orderBy("k").collect()
+    assert tx.match_keys(values) == [r["key"] for r in rows]
+
+
 def test_comparers_are_their_steps():
     rnd = random.Random(3)
     letters = "nrtifüoOøC)1IlyeSERu][3éöçæﬁ '`\"-‐—«»‹›“’¯\t\n\u0092\u00a0\u200b\ufeff\u2029 ab -"
